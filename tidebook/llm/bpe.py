@@ -22,7 +22,8 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 
 from .common import Rows, sha256_hex
 
-MEMO = 1 << 18
+#: Most split pieces that a worker remembers.
+MEMO = 1 << 19
 _loaded: dict[str, "Codec"] = {}
 
 
@@ -72,7 +73,7 @@ class Codec:
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         back = {c: b for b, c in enumerate(byte_chars())}
         self.bytes_of = {i: bytes(back[c] for c in t) for t, i in self.tokenizer.get_vocab().items()}
-        self.memos: dict[bool, dict[str, tuple[list[int], list[tuple[int, int]] | None]]] = {False: {}, True: {}}
+        self.memo: dict[str, bytes] = {}
 
     @staticmethod
     def get(spec: str, pattern: str) -> "Codec":
@@ -82,37 +83,41 @@ class Codec:
             _loaded[key] = Codec(spec, pattern)
         return _loaded[key]
 
-    def _learn(self, pieces: set[str], offsets: bool) -> dict:
-        memo = self.memos[offsets]
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """The memo with all these pieces; when full, it keeps what these texts use of it."""
+        memo = self.memo
         new = [p for p in pieces if p not in memo]
         if len(memo) + len(new) > MEMO:
-            memo = self.memos[offsets] = {}
-            new = list(pieces)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            run = self.tokenizer.encode_batch if offsets else self.tokenizer.encode_batch_fast
-            memo.update((p, (e.ids, e.offsets if offsets else None)) for p, e in zip(part, run(part, add_special_tokens=False), strict=True))
+            memo = self.memo = {p: memo[p] for p in pieces if p in memo}
+        for at in range(0, len(new), 1024):
+            part = new[at : at + 1024]
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            cuts = np.searchsorted(np.asarray(found.word_ids, np.int64), np.arange(len(part) + 1)) * 4
+            packed = np.asarray(found.ids, "<u4").tobytes()
+            cuts = cuts.tolist()
+            memo.update((p, packed[i:j]) for p, i, j in zip(part, cuts, cuts[1:], strict=False))
         return memo
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [self.split.findall(t) for t in texts]
-        memo = self._learn(set(chain.from_iterable(split)), False)
-        return [[*chain.from_iterable([memo[p][0] for p in pieces])] for pieces in split]
+        memo = self._learn(set(chain.from_iterable(split)))
+        return [b"".join([memo[p] for p in pieces]) for pieces in split]
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(x, "<u4").tolist() for x in self.packed(texts)]
 
-    def with_offsets(self, texts: list[str]) -> list[tuple[list[int], list[int], list[int]]]:
+    def with_offsets(self, text: str) -> tuple[list[int], list[int], list[int]]:
         """Ids with the first and one past the last character of each; tokens that part a character share it."""
-        out = []
-        for text in texts:
-            ids, begin, end = [], [], []
-            found = [(m.start(), m[0]) for m in self.split.finditer(text)]
-            memo = self._learn({p for _, p in found}, True)
-            for at, piece in found:
-                own, spans = memo[piece]
-                ids += own
-                begin += [at + a for a, _ in spans]
-                end += [at + b for _, b in spans]
-            out.append((ids, begin, end))
-        return out
+        ids, begin, end = [], [], []
+        found = [(m.start(), m[0]) for m in self.split.finditer(text)]
+        for part in (found[at : at + 1024] for at in range(0, len(found), 1024)):
+            got = self.tokenizer.encode([p for _, p in part], is_pretokenized=True, add_special_tokens=False)
+            starts = [part[w][0] for w in got.word_ids]
+            ids += got.ids
+            begin += [at + a for at, (a, _) in zip(starts, got.offsets, strict=True)]
+            end += [at + b for at, (_, b) in zip(starts, got.offsets, strict=True)]
+        return ids, begin, end
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -125,7 +130,7 @@ class Codec:
         return [*parts[:-1], parts[-1] + rest] if parts else []
 
 
-def _texts(column: pa.Array, step: int = 256) -> Iterable[list[str]]:
+def _texts(column: pa.Array, step: int = 1000) -> Iterable[list[str]]:
     for at in range(0, len(column), step):
         yield [t or "" for t in column.slice(at, step).to_pylist()]
 
@@ -140,7 +145,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         codec = Codec.get(spec, pattern)
         for b in batches:
-            rows = [x for part in _texts(b.column(1)) for x in codec.with_offsets(part)]
+            rows = [codec.with_offsets(t) for part in _texts(b.column(1)) for t in part]
             own = [pa.array([r[k] for r in rows], pa.list_(pa.int32())) for k in range(3)]
             yield pa.RecordBatch.from_arrays([b.column(0), *own], ["row_id", "ids", "char_begin", "char_end"])
 
@@ -175,10 +180,10 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
         for b in batches:
             n, own, back = [], [], []
             for part in _texts(b.column(1)):
-                for ids in codec.ids(part):
-                    n.append(len(ids))
-                    own.append(sha256_hex(np.asarray(ids, "<u4").tobytes()))
-                    back.append(sha256_hex(codec.decode(ids)))
+                for packed in codec.packed(part):
+                    n.append(len(packed) // 4)
+                    own.append(sha256_hex(packed))
+                    back.append(sha256_hex(codec.decode(np.frombuffer(packed, "<u4").tolist())))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[id_col].dataType.simpleString()
