@@ -202,10 +202,10 @@ def gram_table(counts: DataFrame, order: int) -> DataFrame:
             at, w = _sum_by(level.key & _mask(top), level.log_w)
             yield pd.DataFrame({"node": key.view(np.int64), "n0": n0, "n1": n1, "w": w[np.searchsorted(at, key)]})
 
-    sums = dealt.mapInPandas(up, "node long, n0 double, n1 double, w double").groupBy("node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("w").alias("w")).toPandas().sort_values("node")
-    key = sums["node"].to_numpy(np.int64).view(np.uint64)
-    n0, n1 = sums["n0"].to_numpy(float), sums["n1"].to_numpy(float)
-    first = [Level(key, n0, n1, (key, sums["w"].to_numpy(float)))]
+    sums = dealt.mapInPandas(up, "node long, n0 double, n1 double, w double").groupBy("node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("w").alias("w")).toArrow().sort_by("node")
+    key = sums["node"].to_numpy().view(np.uint64)
+    n0, n1 = sums["n0"].to_numpy(), sums["n1"].to_numpy()
+    first = [Level(key, n0, n1, (key, sums["w"].to_numpy()))]
     for d in range(top - 2, -1, -1):
         low, m0, m1 = _sum_by(first[0].key & _mask(d + 1), n0, n1)
         first.insert(0, Level(low, m0, m1, (first[0].key & _mask(d + 1), first[0].log_w)))
@@ -354,13 +354,15 @@ def score(df: DataFrame, held_out: Column, order: int = ORDER, broadcast_grams:
     texts = rows.where("not held_out").count()
     total, kinds = told["n"] + texts, told["v"] + (texts > 0)
     bar = total // heavy_share
-    often = words.where(F.col("n") > bar).toPandas()
-    heavy = dict(zip(map(bytes, often["word"]), often["n"].tolist(), strict=True))
+    often = words.where(F.col("n") > bar).toArrow()
+    heavy = dict(zip(often["word"].to_pylist(), often["n"].to_pylist(), strict=True))
+    del often
     table = materialize(gram_table(materialize(count_grams(rows, order), "grams"), order), "model")
     small = table.count() <= broadcast_grams
     if small:
-        got = table.toPandas()
-        held = Table(got["gram"].to_numpy(np.int64).view(np.uint64), got["log10_p"].to_numpy(float))
+        got = table.toArrow()
+        held = Table(got["gram"].to_numpy().view(np.uint64), got["log10_p"].to_numpy())
+        del got
     done = materialize(_pass(rows, heavy, held if small else None, order), "scored")
     light = _exploded(done, "light", "light_n").join(words.where(F.col("n") <= bar).withColumnRenamed("word", "item"), "item")
     light = light.groupBy("rid").agg(F.sum("k").alias("light_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("light_sum"))

@@ -71,9 +71,9 @@ def frequencies(texts: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.nda
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["bucket", "n"])
 
-    got = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    got = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << bits, np.int64)
-    out[got["bucket"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
+    out[got["bucket"].to_numpy()] = got["n"].to_numpy()
     return out
 
 
