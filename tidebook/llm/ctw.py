@@ -142,7 +142,7 @@ def _lowered(texts: list[str | None]) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
 
 
-def _parts(b: pa.RecordBatch, step: int = 400) -> Iterable[pa.RecordBatch]:
+def _parts(b: pa.RecordBatch, step: int = 200) -> Iterable[pa.RecordBatch]:
     for at in range(0, b.num_rows, step):
         yield b.slice(at, step)
 
@@ -167,7 +167,7 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
                 found, times = order_[cut], np.diff(np.append(cut, len(order_)))
                 new.append((found >> np.uint64(1), times * (found & np.uint64(1)).astype(np.int64)))
                 size += len(found)
-                if size > max(1_000_000, len(key)):
+                if size > max(500_000, len(key)):
                     key, n = fold()
                     new, size = [], 0
         key, n = fold()
@@ -284,7 +284,7 @@ def count_words(rows: DataFrame) -> DataFrame:
                 for t, held in zip(part.column(1), part.column(2), strict=True):
                     if not held.as_py():
                         total.update((t.as_py() or "").encode("utf-8", "surrogatepass").lower().split())
-                if len(total) > 500_000:
+                if len(total) > 300_000:
                     yield from flush()
                     total.clear()
         yield from flush()
