@@ -8,6 +8,7 @@ different components to look at, so a large group of near copies costs a row per
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable
 
 import numpy as np
@@ -20,8 +21,9 @@ from ..plans.durable import materialize
 from .common import Rows, word_bytes
 from .components import components
 
-#: log2 of the buckets that shingle frequencies are counted in; 2^18 of them bound what is broadcast to 2 MB.
-SKETCH_BITS = 18
+#: log2 of the buckets that shingle frequencies are counted in; a byte each, they bound what is broadcast to 16 MB.
+SKETCH_BITS = 24
+_CHUNK = 1 << 16
 #: Most ids of texts to verify that are broadcast, rather than joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29), np.uint64(32))
@@ -61,43 +63,63 @@ def _blocks(b: pa.RecordBatch, column: int) -> Iterable[str | None]:
 
 
 def frequencies(texts: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """How many texts' shingles fall in each bucket of the hash, over all texts."""
+    """A byte per bucket of the hash that grows with how many texts' shingles fall there, over all texts.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Rows:
-        total = np.zeros(1 << bits, np.int64)
+    Each task counts on its own and sends its chunks compressed; chunks are summed one at a time where they meet.
+    """
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Rows:
+        total = np.zeros(1 << bits, np.uint32)
         for b in batches:
             for t in _blocks(b, 0):
-                np.add.at(total, (shingles(t, words) >> np.uint64(64 - bits)).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["bucket", "n"])
-
-    got = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << bits, np.int64)
-    out[got["bucket"].to_numpy()] = got["n"].to_numpy()
+                np.add.at(total, (shingles(t, words) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+        for chunk in range(0, max(1, len(total) // _CHUNK)):
+            part = total[chunk * _CHUNK : (chunk + 1) * _CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["chunk", "data"])
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Rows:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for chunk, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                part = np.frombuffer(zlib.decompress(data.as_buffer()), np.uint32)
+                sums[chunk] = sums[chunk] + part if chunk in sums else part.astype(np.int64)
+        for chunk, part in sums.items():
+            code = np.minimum(np.round(8 * np.log2(part + 1.0)), 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([code.tobytes()], pa.binary())], ["chunk", "data"])
+
+    kind = "chunk int, data binary"
+    got = texts.select("text").mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).toArrow()
+    out = np.zeros(1 << bits, np.uint8)
+    for chunk, data in zip(got["chunk"].to_pylist(), got["data"], strict=True):
+        out[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(data.as_buffer(), np.uint8)
     return out
 
 
 def prefixes(texts: DataFrame, words: int, percent: int, often: np.ndarray) -> DataFrame:
-    """``rid, doc_id, n, set_key, prefix`` per text: the key names the set, the prefix holds its rarest shingles."""
-    bits = np.uint64(64 - int(len(often)).bit_length() + 1)
+    """``rid, doc_id, n, common, set_key, prefix`` per text: the key names the set, the prefix holds its rarest
+    shingles, rarest first, and ``common`` is how frequent its shingles are on the whole."""
+    bits = np.uint64(64 - (len(often).bit_length() - 1))
     shared = texts.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         count = shared.value
         for b in batches:
-            n, keys, rare = [], [], []
+            n, keys, rare, common = [], [], [], []
             for t in _blocks(b, 1):
                 s = shingles(t, words)
                 n.append(len(s))
                 keys.append(hashlib.md5(s.tobytes()).digest())
                 take = prefix_length(len(s), percent) if len(s) else 0
-                rare.append(s[np.argsort(count[(s >> bits).astype(np.int64)], kind="stable")[:take]].view(np.int64))
+                code = count[(s >> bits).astype(np.int64)]
+                common.append(float(code.mean()) if len(s) else 0.0)
+                rare.append(s[np.argsort(code, kind="stable")[:take]].view(np.int64))
             cuts = np.cumsum([0, *map(len, rare)])
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(rare) if rare else np.zeros(0, np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(keys, pa.binary()), lists], ["doc_id", "n", "set_key", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(common, pa.float32()), pa.array(keys, pa.binary()), lists], ["doc_id", "n", "common", "set_key", "prefix"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n int, set_key binary, prefix array<long>")
+    rows = texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, common float, set_key binary, prefix array<long>")
     return rows.withColumn("rid", F.monotonically_increasing_id())
 
 
@@ -145,32 +167,42 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def join_classes(texts: DataFrame, words: int, percent: int, bits: int = SKETCH_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (``rid, doc_id, n, set_key``), classes (``cid, set_key, doc_id``) and roots (``node, root`` over cids)."""
+    """Rows (``rid, doc_id, n, set_key``), classes (``cid, set_key, doc_id``) and roots (``node, root`` over cids).
+
+    The leader of a shingle is the class whose shingles are the most frequent: in a group of near copies, the one that
+    the others differ from.  Between components a pair comes up at its first common prefix shingle only, and only if
+    the shingles common to both prefixes and all that follows the shorter of them can reach the overlap: a common
+    shingle no later than the end of either prefix is in both, so the rest of one set bounds what is still to come.
+    """
     rows = materialize(prefixes(texts, words, percent, frequencies(texts, words, bits)), "prefixes")
     filled = rows.where("n > 0")
     first = filled.groupBy("set_key").agg(F.min("rid").alias("rid"))
     kept = filled.join(first.select("rid"), "rid", "left_semi")
-    postings = kept.select(F.col("rid").alias("cid"), "n", F.posexplode("prefix").alias("pos", "token"))
-    lead = Window.partitionBy("token").orderBy("n", "cid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = postings.select("token", "cid", "n", "pos", F.count("*").over(lead).alias("m"), F.first("cid").over(lead).alias("leader"), F.first("n").over(lead).alias("leader_n"))
+    postings = kept.select(F.col("rid").alias("cid"), "n", "common", F.explode("prefix").alias("token"))
+    lead = Window.partitionBy("token").orderBy(F.desc("common"), "n", "cid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = postings.select("token", "cid", "n", F.count("*").over(lead).alias("m"), F.first("cid").over(lead).alias("leader"), F.first("n").over(lead).alias("leader_n"))
     met = materialize(met.where("m > 1").drop("m"), "met")
-    classes = materialize(filled.join(first.select("rid"), "rid", "left_semi").select(F.col("rid").alias("cid"), "set_key", "doc_id"), "classes")
-    star = materialize(met.where((F.col("cid") != F.col("leader")) & (F.col("leader_n") * 100 >= F.col("n") * percent)).select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), "star")
+    classes = materialize(kept.select(F.col("rid").alias("cid"), "set_key", "doc_id"), "classes")
+    like = lambda x, y: (x * 100 >= y * percent) & (y * 100 >= x * percent)
+    star = materialize(met.where((F.col("cid") != F.col("leader")) & like(F.col("leader_n"), F.col("n"))).select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), "star")
     ends = lambda p: p.select(F.col("a").alias("cid")).union(p.select("b")).distinct()
     links = verified(star, _sets(texts, classes, ends(star), words), percent)
     roots = materialize(components(links), "roots")
 
     part = met.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     over = Window.partitionBy("token")
-    apart = materialize(part.withColumn("mixed", F.min("root").over(over) != F.max("root").over(over)).where("mixed").select("token", "cid", "n", "pos", "root"), "apart")
+    apart = part.withColumn("mixed", F.min("root").over(over) != F.max("root").over(over)).where("mixed").select("token", "cid", "n", "root")
+    apart = materialize(apart.join(rows.select(F.col("rid").alias("cid"), "prefix"), "cid"), "apart")
     x, y = apart.alias("x"), apart.alias("y")
-    first_n, second_n, i, j = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
+    first_n, second_n = F.col("x.n"), F.col("y.n")
     length = (first_n * 100 >= second_n * percent) & ((first_n < second_n) | ((first_n == second_n) & (F.col("x.cid") < F.col("y.cid"))))
-    reach = F.least(i, j) + 1 + F.least(first_n - i - 1, second_n - j - 1)
-    indexed = i <= first_n - F.ceil(first_n * (2 * percent) / (100 + percent))
-    more = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & length & indexed & (reach >= needed(first_n, second_n, percent)))
-    more = more.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
-    more = materialize(more.join(star, ["a", "b"], "left_anti"), "more")
+    both = F.array_intersect("x.prefix", "y.prefix")
+    rest = F.greatest(first_n - F.size("x.prefix"), second_n - F.size("y.prefix"))
+    once = (F.get(both, F.lit(0)) == F.col("x.token")) & (F.size(both) + rest >= needed(first_n, second_n, percent))
+    more = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & length & once)
+    tried = star.select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("d"))
+    more = more.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
+    more = materialize(more.join(tried, (F.least("a", "b") == F.col("c")) & (F.greatest("a", "b") == F.col("d")), "left_anti"), "more")
     late = verified(more, _sets(texts, classes, ends(more), words), percent)
     named = lambda c: (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c)
     late = late.join(*named("a"), "left").join(*named("b"), "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
