@@ -21,8 +21,9 @@ from ..plans.durable import materialize
 from .common import Rows, word_bytes
 from .components import components
 
-#: log2 of the buckets that shingle frequencies are counted in; a byte each, they bound what is broadcast to 16 MB.
-SKETCH_BITS = 24
+#: Shingle frequencies are counted in about as many buckets as there are shingles, 2^28 at most: half a byte each, they
+#: bound what is broadcast to 128 MB.
+MOST_BITS = 28
 _CHUNK = 1 << 16
 #: Most ids of texts to verify that are broadcast, rather than joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -62,44 +63,69 @@ def _blocks(b: pa.RecordBatch, column: int) -> Iterable[str | None]:
         yield from b.column(column).slice(at, 500).to_pylist()
 
 
-def frequencies(texts: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """A byte per bucket of the hash that grows with how many texts' shingles fall there, over all texts.
+def sketch_bits(texts: DataFrame, most: int = MOST_BITS) -> int:
+    """log2 of the buckets for these texts, at a shingle to six characters."""
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(17, min(most, int(chars // 6).bit_length()))
 
-    Each task counts on its own and sends its chunks compressed; chunks are summed one at a time where they meet.
+
+def frequencies(texts: DataFrame, words: int, bits: int) -> np.ndarray:
+    """Half a byte per bucket of the hash: log2 of how many texts' shingles fall there, rounded up, over all texts.
+
+    Each task sends its own counts, sparse and compressed; a chunk of buckets is summed at a time where they meet.
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Rows:
-        total = np.zeros(1 << bits, np.uint32)
+        key, n, new, size = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0
+
+        def fold() -> tuple[np.ndarray, np.ndarray]:
+            fresh = np.sort(np.concatenate([np.zeros(0, np.uint32), *new]))
+            at = np.flatnonzero(np.concatenate(([True], fresh[1:] != fresh[:-1]))) if len(fresh) else np.zeros(0, np.int64)
+            k, c = np.concatenate([key, fresh[at]]), np.concatenate([n, np.diff(np.append(at, len(fresh)))])
+            order = np.argsort(k, kind="stable")
+            k, c = k[order], c[order]
+            at = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
+            return k[at], np.add.reduceat(c, at) if len(at) else c
+
         for b in batches:
             for t in _blocks(b, 0):
-                np.add.at(total, (shingles(t, words) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
-        for chunk in range(0, max(1, len(total) // _CHUNK)):
-            part = total[chunk * _CHUNK : (chunk + 1) * _CHUNK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["chunk", "data"])
+                new.append((shingles(t, words) >> np.uint64(64 - bits)).astype(np.uint32))
+                size += len(new[-1])
+                if size > 4_000_000:
+                    key, n = fold()
+                    new, size = [], 0
+        key, n = fold()
+        cuts = np.searchsorted(key, np.arange(0, (1 << bits) + 1, _CHUNK))
+        for chunk in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            own = slice(cuts[chunk], cuts[chunk + 1])
+            data = (key[own] & np.uint32(_CHUNK - 1)).astype("<u2").tobytes() + np.minimum(n[own], (1 << 32) - 1).astype("<u4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(data, 1)], pa.binary())], ["chunk", "data"])
 
     def add(batches: Iterable[pa.RecordBatch]) -> Rows:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for chunk, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                part = np.frombuffer(zlib.decompress(data.as_buffer()), np.uint32)
-                sums[chunk] = sums[chunk] + part if chunk in sums else part.astype(np.int64)
+                raw = zlib.decompress(data.as_buffer())
+                k = len(raw) // 6
+                part = sums.setdefault(chunk, np.zeros(_CHUNK, np.uint32))
+                part[np.frombuffer(raw, "<u2", k)] += np.frombuffer(raw, "<u4", k, 2 * k)
         for chunk, part in sums.items():
-            code = np.minimum(np.round(8 * np.log2(part + 1.0)), 255).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([code.tobytes()], pa.binary())], ["chunk", "data"])
+            code = np.minimum(np.ceil(np.log2(np.maximum(part, 1))), 15).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([(code[::2] | code[1::2] << 4).tobytes()], pa.binary())], ["chunk", "data"])
 
     kind = "chunk int, data binary"
     got = texts.select("text").mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).toArrow()
-    out = np.zeros(1 << bits, np.uint8)
+    out = np.zeros(1 << (bits - 1), np.uint8)
+    half = _CHUNK // 2
     for chunk, data in zip(got["chunk"].to_pylist(), got["data"], strict=True):
-        out[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(data.as_buffer(), np.uint8)
+        out[chunk * half : (chunk + 1) * half] = np.frombuffer(data.as_buffer(), np.uint8)
     return out
 
 
 def prefixes(texts: DataFrame, words: int, percent: int, often: np.ndarray) -> DataFrame:
     """``rid, doc_id, n, common, set_key, prefix`` per text: the key names the set, the prefix holds its rarest
     shingles, rarest first, and ``common`` is how frequent its shingles are on the whole."""
-    bits = np.uint64(64 - (len(often).bit_length() - 1))
+    bits = np.uint64(64 - len(often).bit_length())
     shared = texts.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
@@ -111,7 +137,8 @@ def prefixes(texts: DataFrame, words: int, percent: int, often: np.ndarray) -> D
                 n.append(len(s))
                 keys.append(hashlib.md5(s.tobytes()).digest())
                 take = prefix_length(len(s), percent) if len(s) else 0
-                code = count[(s >> bits).astype(np.int64)]
+                at = (s >> bits).astype(np.int64)
+                code = count[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15
                 common.append(float(code.mean()) if len(s) else 0.0)
                 rare.append(s[np.argsort(code, kind="stable")[:take]].view(np.int64))
             cuts = np.cumsum([0, *map(len, rare)])
@@ -166,7 +193,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def join_classes(texts: DataFrame, words: int, percent: int, bits: int = SKETCH_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def join_classes(texts: DataFrame, words: int, percent: int, most_bits: int = MOST_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (``rid, doc_id, n, set_key``), classes (``cid, set_key, doc_id``) and roots (``node, root`` over cids).
 
     The leader of a shingle is the class whose shingles are the most frequent: in a group of near copies, the one that
@@ -174,7 +201,7 @@ def join_classes(texts: DataFrame, words: int, percent: int, bits: int = SKETCH_
     the shingles common to both prefixes and all that follows the shorter of them can reach the overlap: a common
     shingle no later than the end of either prefix is in both, so the rest of one set bounds what is still to come.
     """
-    rows = materialize(prefixes(texts, words, percent, frequencies(texts, words, bits)), "prefixes")
+    rows = materialize(prefixes(texts, words, percent, frequencies(texts, words, sketch_bits(texts, most_bits))), "prefixes")
     filled = rows.where("n > 0")
     first = filled.groupBy("set_key").agg(F.min("rid").alias("rid"))
     kept = filled.join(first.select("rid"), "rid", "left_semi")
@@ -213,7 +240,7 @@ def join_classes(texts: DataFrame, words: int, percent: int, bits: int = SKETCH_
     return rows.select("rid", "doc_id", "n", "set_key"), classes, both.union(rest)
 
 
-def label(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id_col: str = "doc_id", bits: int = SKETCH_BITS) -> DataFrame:
+def label(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id_col: str = "doc_id", most_bits: int = MOST_BITS) -> DataFrame:
     """Per input row ``doc_id, n_shingles, component_id``.
 
     Sets are compared by 64-bit shingle hashes.  ``component_id`` is the least id of the rows that a row reaches by links
@@ -223,7 +250,7 @@ def label(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
     columns play no part.
     """
     texts = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows, classes, roots = join_classes(texts, words, percent, bits)
+    rows, classes, roots = join_classes(texts, words, percent, most_bits)
     least = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     top = classes.join(least, "set_key").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("set_key", "least", F.coalesce("root", "cid").alias("root"))
     ends = top.groupBy("root").agg(F.min("least").alias("component_id"))
