@@ -104,7 +104,9 @@ def scan(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", id_co
 
 
 def redact(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ratio: float = RATIO) -> DataFrame:
-    """The same rows and columns, every span of ``text`` replaced by ``<kind>``; null texts stay null."""
+    """The same rows and columns, every span of ``text`` replaced by ``<kind>``; null texts stay null.
+
+    ``n_chars``, where there, follows the text."""
 
     def clean(t: str | None, encoding: tiktoken.Encoding) -> str | None:
         if not t:
@@ -117,11 +119,16 @@ def redact(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", rat
         return "".join([*out, t[done:]])
 
     at = df.columns.index(text)
+    length = df.columns.index("n_chars") if "n_chars" in df.columns else None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         encoding = _encoding(vocabulary, pattern)
         for b in batches:
-            new = pa.array([clean(t, encoding) for t in b.column(at).to_pylist()], b.schema.field(at).type)
-            yield b.set_column(at, b.schema.field(at), new)
+            new = [clean(t, encoding) for t in b.column(at).to_pylist()]
+            columns = [*b.columns]
+            columns[at] = pa.array(new, b.schema.field(at).type)
+            if length is not None:
+                columns[length] = pa.array([None if t is None else len(t) for t in new], b.schema.field(length).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
     return df.mapInArrow(run, df.schema)
