@@ -263,14 +263,22 @@ def keep_one(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text
     """The rows of ``df`` without those that have a row of a smaller id in their component; of rows that repeat both
     id and component one stays, and rows without shingles or without an id all stay."""
     named = label(df, words, percent, text, id_col)
-    gone = named.where("component_id <> doc_id").select("doc_id").distinct()
-    repeated = named.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    left = df.join(gone.withColumnRenamed("doc_id", "gone_id"), F.col(f"`{id_col}`") == F.col("gone_id"), "left_anti")
-    again = repeated.withColumnRenamed("doc_id", "again_id")
+    gone = _sized(named.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    left = df.join(gone, F.col(f"`{id_col}`") == F.col("gone_id"), "left_anti")
+    again = materialize(named.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id")), "again")
+    if not again.limit(1).count():
+        return left
+    again = _sized(again, "again")
     once = left.join(again, F.col(f"`{id_col}`") == F.col("again_id"), "left_semi").dropDuplicates([id_col])
     return left.join(again, F.col(f"`{id_col}`") == F.col("again_id"), "left_anti").unionByName(once)
 
 
+def _sized(ids: DataFrame, name: str) -> DataFrame:
+    """Ids to join texts with: broadcast if they are few, which is counted on a written table."""
+    kept = materialize(ids, name)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_IDS else kept
+
+
 ORACLE = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
