@@ -23,7 +23,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 from .common import Rows, sha256_hex
 
 #: Most split pieces that a worker remembers.
-MEMO = 1 << 19
+MEMO = 300_000
 _loaded: dict[str, "Codec"] = {}
 
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: A word everywhere in this subpackage: a run without space, tab, \n, \v, \f, \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,33 +29,8 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def map_rows(df: DataFrame, columns: list[str], fn: Callable[..., tuple], schema: str) -> DataFrame:
-    """Arrow batches through ``fn(*values of columns) -> tuple`` row for row, built column by column."""
-    return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(_RowMap(fn, schema_fields(schema)), schema)
-
-
-def schema_fields(ddl: str) -> list[tuple[str, pa.DataType]]:
-    kinds = {
-        "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
-        "string": pa.string(), "binary": pa.binary(), "float": pa.float32(),
-        "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
-    }
-    return [(n, kinds[k]) for n, k in (x.strip().split(" ") for x in ddl.split(","))]
-
-
-class _RowMap:
-    """A picklable batch mapper; output batches are cut so that long texts do not pile up."""
-
-    def __init__(self, fn: Callable[..., tuple], fields: list[tuple[str, pa.DataType]], step: int = 2000):
-        self.fn, self.fields, self.step = fn, fields, step
-
-    def __call__(self, batches: Iterable[pa.RecordBatch]) -> Rows:
-        for batch in batches:
-            for at in range(0, batch.num_rows, self.step):
-                columns = [c.to_pylist() for c in batch.slice(at, self.step).columns]
-                yield build([self.fn(*row) for row in zip(*columns, strict=True)], self.fields)
-
-
-def build(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+def sliced(batches: Iterable[pa.RecordBatch], step: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that little of a batch is ever held as Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)

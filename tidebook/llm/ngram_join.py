@@ -64,9 +64,9 @@ def _blocks(b: pa.RecordBatch, column: int) -> Iterable[str | None]:
 
 
 def sketch_bits(texts: DataFrame, most: int = MOST_BITS) -> int:
-    """log2 of the buckets for these texts, at a shingle to six characters."""
+    """log2 of the buckets for these texts, at a shingle to eight characters."""
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    return max(17, min(most, int(chars // 6).bit_length()))
+    return max(17, min(most, int(chars // 8).bit_length()))
 
 
 def frequencies(texts: DataFrame, words: int, bits: int) -> np.ndarray:
@@ -91,7 +91,7 @@ def frequencies(texts: DataFrame, words: int, bits: int) -> np.ndarray:
             for t in _blocks(b, 0):
                 new.append((shingles(t, words) >> np.uint64(64 - bits)).astype(np.uint32))
                 size += len(new[-1])
-                if size > 4_000_000:
+                if size > 1_500_000:
                     key, n = fold()
                     new, size = [], 0
         key, n = fold()

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, word_bytes
+from .common import Rows, sliced, word_bytes
 from .quality_rules import rule_counts
 
 #: Buckets of the hashed scorer; texts it is fitted on, those of least id hash; passes over them.
@@ -134,8 +134,8 @@ def fit(df: DataFrame, text: str = "text", id_col: str = "doc_id", fit_rows: int
     the ``fit_rows`` texts whose id hashes least, under their posteriors."""
 
     def vote(batches: Iterable[pa.RecordBatch]) -> Rows:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([pattern(t) for at in range(0, b.num_rows, 500) for t in b.column(0).slice(at, 500).to_pylist()], pa.int64())], ["pattern"])
+        for b in sliced(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([pattern(t) for t in b.column(0).to_pylist()], pa.int64())], ["pattern"])
 
     seen = _text(df, text).mapInArrow(vote, "pattern long").groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").toPandas()
     v = unpack(seen["pattern"].to_numpy(np.int64))
@@ -156,8 +156,8 @@ def classify(df: DataFrame, text: str = "text", id_col: str = "doc_id", fit_rows
     _, w = fit(df, text, id_col, fit_rows)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
-        for b in batches:
-            texts = [t for at in range(0, b.num_rows, 500) for t in b.column(1).slice(at, 500).to_pylist()]
+        for b in sliced(batches):
+            texts = b.column(1).to_pylist()
             s = [score(t, w) if t and t.strip() else 0.0 for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array([x >= bar for x in s], pa.bool_())], ["doc_id", "score", "kept"])
 
@@ -171,7 +171,7 @@ def keep_good(df: DataFrame, text: str = "text", id_col: str = "doc_id", fit_row
     at = df.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
-        for b in batches:
+        for b in sliced(batches):
             texts = b.column(at).to_pylist()
             yield b.filter(pa.array([bool(t and t.strip()) and score(t, w) >= bar for t in texts], pa.bool_()))
 

@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, sha256_hex
+from .common import Rows, sha256_hex, sliced
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -123,7 +123,7 @@ def redact(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", rat
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         encoding = _encoding(vocabulary, pattern)
-        for b in batches:
+        for b in sliced(batches):
             new = [clean(t, encoding) for t in b.column(at).to_pylist()]
             columns = [*b.columns]
             columns[at] = pa.array(new, b.schema.field(at).type)
