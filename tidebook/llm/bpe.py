@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from .common import Rows, sha256_hex
+from .common import Rows, sha256_hex, small_batches
 
 #: Most split pieces that a worker remembers.
-MEMO = 300_000
+MEMO = 200_000
 _loaded: dict[str, "Codec"] = {}
 
 
@@ -140,6 +140,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_
 
     A null text is empty and gives empty lists; repeated rows each give a row; other columns play no part.
     """
+    small_batches(df)
     spec = tokenizer_json(read_ranks(ranks_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
@@ -155,6 +156,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", id_col: str = "row_id") -> DataFrame:
     """``row_id``, the decoded ``bytes``, and ``text`` with what is no UTF-8 replaced; null ids decode as none."""
+    small_batches(df)
     spec = tokenizer_json(read_ranks(ranks_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
@@ -173,6 +175,7 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     The ids never leave the worker, so the shuffle-free job moves texts in and digests out.
     Null texts are empty: no tokens, and the digests of no bytes.
     """
+    small_batches(df)
     spec = tokenizer_json(read_ranks(ranks_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
@@ -185,6 +188,7 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                     own.append(sha256_hex(packed))
                     back.append(sha256_hex(codec.decode(np.frombuffer(packed, "<u4").tolist())))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        codec.memo.clear()
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -29,8 +29,18 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Lowers the session's Arrow batches to ``rows`` rows, so that long texts cost a worker little memory at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name, "10000"))
+    if now <= 0 or now > rows:
+        df.sparkSession.conf.set(name, str(rows))
+    return df
+
+
 def sliced(batches: Iterable[pa.RecordBatch], step: int = 500) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that little of a batch is ever held as Python objects."""
     for b in batches:
         for at in range(0, b.num_rows, step):
             yield b.slice(at, step)
+    pa.default_memory_pool().release_unused()

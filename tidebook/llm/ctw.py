@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.durable import materialize
-from .common import Rows
+from .common import Rows, small_batches
 
 ORDER = 5
 BROADCAST_GRAMS = 4_000_000
@@ -349,6 +349,7 @@ def score(df: DataFrame, held_out: Column, order: int = ORDER, broadcast_grams:
     if not 2 <= order <= 6:
         raise ValueError("order must be 2 to 6: a gram and a mark fit in 64 bits")
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    small_batches(df)
     words = materialize(count_words(rows), "words")
     told = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     texts = rows.where("not held_out").count()

@@ -14,11 +14,12 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.durable import materialize
-from .common import Rows, word_bytes
+from .common import Rows, small_batches, word_bytes
 from .components import components
 
 #: Shingle frequencies are counted in about as many buckets as there are shingles, 2^28 at most: half a byte each, they
@@ -122,14 +123,13 @@ def frequencies(texts: DataFrame, words: int, bits: int) -> np.ndarray:
     return out
 
 
-def prefixes(texts: DataFrame, words: int, percent: int, often: np.ndarray) -> DataFrame:
+def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast) -> DataFrame:
     """``rid, doc_id, n, common, set_key, prefix`` per text: the key names the set, the prefix holds its rarest
     shingles, rarest first, and ``common`` is how frequent its shingles are on the whole."""
-    bits = np.uint64(64 - len(often).bit_length())
-    shared = texts.sparkSession.sparkContext.broadcast(often)
+    bits = np.uint64(64 - len(often.value).bit_length())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
-        count = shared.value
+        count = often.value
         for b in batches:
             n, keys, rare, common = [], [], [], []
             for t in _blocks(b, 1):
@@ -201,7 +201,10 @@ def join_classes(texts: DataFrame, words: int, percent: int, most_bits: int = MO
     the shingles common to both prefixes and all that follows the shorter of them can reach the overlap: a common
     shingle no later than the end of either prefix is in both, so the rest of one set bounds what is still to come.
     """
-    rows = materialize(prefixes(texts, words, percent, frequencies(texts, words, sketch_bits(texts, most_bits))), "prefixes")
+    small_batches(texts)
+    often = texts.sparkSession.sparkContext.broadcast(frequencies(texts, words, sketch_bits(texts, most_bits)))
+    rows = materialize(prefixes(texts, words, percent, often), "prefixes")
+    often.destroy()  # the rows are in a table
     filled = rows.where("n > 0")
     first = filled.groupBy("set_key").agg(F.min("rid").alias("rid"))
     kept = filled.join(first.select("rid"), "rid", "left_semi")

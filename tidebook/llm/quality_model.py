@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, sliced, word_bytes
+from .common import Rows, sliced, small_batches, word_bytes
 from .quality_rules import rule_counts
 
 #: Buckets of the hashed scorer; texts it is fitted on, those of least id hash; passes over them.
@@ -137,6 +137,7 @@ def fit(df: DataFrame, text: str = "text", id_col: str = "doc_id", fit_rows: int
         for b in sliced(batches):
             yield pa.RecordBatch.from_arrays([pa.array([pattern(t) for t in b.column(0).to_pylist()], pa.int64())], ["pattern"])
 
+    small_batches(df)
     seen = _text(df, text).mapInArrow(vote, "pattern long").groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").toPandas()
     v = unpack(seen["pattern"].to_numpy(np.int64))
     weak = fit_weak_labels(v, seen["n"].to_numpy(float))
