@@ -123,10 +123,10 @@ def frequencies(texts: DataFrame, words: int, bits: int) -> np.ndarray:
     return out
 
 
-def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast) -> DataFrame:
+def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast, bits: int) -> DataFrame:
     """``rid, doc_id, n, common, set_key, prefix`` per text: the key names the set, the prefix holds its rarest
     shingles, rarest first, and ``common`` is how frequent its shingles are on the whole."""
-    bits = np.uint64(64 - len(often.value).bit_length())
+    shift = np.uint64(64 - bits)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         count = often.value
@@ -137,7 +137,7 @@ def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast) -> Da
                 n.append(len(s))
                 keys.append(hashlib.md5(s.tobytes()).digest())
                 take = prefix_length(len(s), percent) if len(s) else 0
-                at = (s >> bits).astype(np.int64)
+                at = (s >> shift).astype(np.int64)
                 code = count[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15
                 common.append(float(code.mean()) if len(s) else 0.0)
                 rare.append(s[np.argsort(code, kind="stable")[:take]].view(np.int64))
@@ -202,8 +202,9 @@ def join_classes(texts: DataFrame, words: int, percent: int, most_bits: int = MO
     shingle no later than the end of either prefix is in both, so the rest of one set bounds what is still to come.
     """
     small_batches(texts)
-    often = texts.sparkSession.sparkContext.broadcast(frequencies(texts, words, sketch_bits(texts, most_bits)))
-    rows = materialize(prefixes(texts, words, percent, often), "prefixes")
+    bits = sketch_bits(texts, most_bits)
+    often = texts.sparkSession.sparkContext.broadcast(frequencies(texts, words, bits))
+    rows = materialize(prefixes(texts, words, percent, often, bits), "prefixes")
     often.destroy()  # the rows are in a table
     filled = rows.where("n > 0")
     first = filled.groupBy("set_key").agg(F.min("rid").alias("rid"))

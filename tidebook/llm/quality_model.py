@@ -17,7 +17,7 @@ from .common import Rows, sliced, small_batches, word_bytes
 from .quality_rules import rule_counts
 
 #: Buckets of the hashed scorer; texts it is fitted on, those of least id hash; passes over them.
-BUCKETS, FIT_ROWS, EPOCHS = 1 << 16, 10_000, 8
+BUCKETS, FIT_ROWS, EPOCHS = 1 << 16, 4_000, 8
 GOOD, BAD, SILENT = 1, 0, 2
 LABELLERS = ("symbols", "marked", "upper", "repeat", "variety", "word_length", "lines")
 _CLASS = bytes(ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256))
