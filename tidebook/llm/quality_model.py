@@ -83,7 +83,7 @@ def fit_weak_labels(v: np.ndarray, count: np.ndarray, rounds: int = 100) -> Weak
         says = np.concatenate([says / says.sum(2, keepdims=True), np.ones((2, v.shape[1], 1))], 2)
         model = WeakLabels(float((w[1].sum() + 1) / (count.sum() + 2)), says)
         new = model.posterior(v)
-        if np.abs(new - p).max() < 1e-7:
+        if np.abs(new - p).max(initial=0.0) < 1e-7:
             break
         p = new
     return model
