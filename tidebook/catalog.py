@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import expr
 from .operators import book, pit, research, trust
+from .registry import Registry
 from .sources import tape
 from .streaming import features
 
-Query = Callable[[SparkSession, str], DataFrame]
 HOUR = 3_600_000_000_000
 START = 1_704_067_200_000_000_000
 AT = START + 200 * HOUR
@@ -47,15 +45,8 @@ p AS (SELECT venue, symbol, u.t AS t, mid, spread, u.t - lw AS age_ns, CASE WHEN
   FROM g2, LATERAL (SELECT unnest(generate_series(g2.t, g2.up, 3600000000000)) AS t) u)"""
 _WIN = "OVER (PARTITION BY venue, symbol ORDER BY t)"
 
-_registered: dict[str, tuple[Query, str | None]] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def keep(f: Query) -> Query:
-        _registered[f.__name__] = (f, sql)
-        return f
-
-    return keep
+_own = Registry()
+query = _own.query
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,9 +444,4 @@ def topic_census(spark, sf_dir):
     return sent.groupBy(*KEYS).agg(F.count("*").alias("total"), F.count_distinct("row_ordinal").alias("distinct_rows"), (F.count("*") - F.count_distinct("row_ordinal")).alias("duplicates"), F.count_if(F.col("venue_ts").isNull()).alias("no_event_time"))
 
 
-def queries() -> dict[str, Query]:
-    return {k: f for k, (f, _) in _registered.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in _registered.items() if sql}
+queries, oracle_sql = _own.queries, _own.oracle_sql
