@@ -97,3 +97,76 @@ def late_rows(rows: DataFrame, lateness: int) -> DataFrame:
     top = F.max("venue_ts").over(Window.partitionBy(*KEYS).orderBy("row_ordinal").rowsBetween(Window.unboundedPreceding, -1))
     judged = rows.where("venue_ts is not null").withColumn("late", F.coalesce(F.col("venue_ts") < top - lateness, F.lit(False)))
     return judged.groupBy(*KEYS).agg(F.count("*").alias("rows"), F.count_if("late").alias("late"))
+
+
+def range_verdicts(updates: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``verdict`` and ``missing`` of update ranges ``first_seq..seq`` against the snapshot they build on.
+
+    ``updates`` has ``first_ordinal``; ``anchors`` has the keys, ``first_ordinal`` and ``snapshot_id``.  Before any
+    anchor nothing can be told.  After one, ranges that end within it are stale; the first that does not must hold the
+    id after it, and each later one the id after the last applied; a range that ends no later is a duplicate.
+    """
+    both = updates.select(*KEYS, "first_ordinal", "first_seq", "seq", F.lit(None).cast("bigint").alias("snapshot_id"))
+    both = both.unionByName(anchors.select(*KEYS, "first_ordinal", "snapshot_id", F.lit(None).cast("bigint").alias("first_seq"), F.lit(None).cast("bigint").alias("seq")))
+    w = Window.partitionBy(*KEYS).orderBy("first_ordinal").rowsBetween(Window.unboundedPreceding, 0)
+    marked = both.withColumn("anchor", F.count("snapshot_id").over(w)).withColumn("base", F.last("snapshot_id", True).over(w))
+    own = Window.partitionBy(*KEYS, "anchor").orderBy("first_ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max(F.when(F.col("seq") > F.col("base"), F.col("seq"))).over(own)
+    rows = marked.withColumn("last", last).where("snapshot_id is null")
+    due = F.coalesce("last", "base") + 1
+    verdict = (
+        F.when(F.col("base").isNull(), "awaiting_snapshot").when(F.col("last").isNull() & (F.col("seq") <= F.col("base")), "stale")
+        .when(F.col("seq") <= F.col("last"), "duplicate").when(F.col("first_seq") <= due, "in_order").otherwise("gap")
+    )
+    rows = rows.withColumn("verdict", verdict).withColumn("missing", F.when(F.col("verdict") == "gap", F.col("first_seq") - due).otherwise(0))
+    return rows.select(*KEYS, "first_ordinal", "first_seq", "seq", "verdict", "missing")
+
+
+def is_loss(verdict: Column) -> Column:
+    return verdict.isin("gap", "divergence", "out_of_order")
+
+
+def applies(verdict: Column) -> Column:
+    return ~verdict.isin("duplicate", "stale")
+
+
+def first_violation(judged: DataFrame) -> DataFrame:
+    """What an archive reader may use: per series the messages before the first that is suspect, lost, repeated or stale,
+    or received before the one that precedes it."""
+    w = Window.partitionBy(*KEYS).orderBy("first_ordinal")
+    back = F.coalesce(F.col("recv_wall") < F.lag("recv_wall").over(w), F.lit(False))
+    bad = F.col("suspect") | back | is_loss(F.col("verdict")) | ~applies(F.col("verdict"))
+    marked = judged.withColumn("bad", bad)
+    first = marked.where("bad").groupBy(*KEYS).agg(F.min("first_ordinal").alias("stop"))
+    return marked.join(first, KEYS, "left").where("stop is null or first_ordinal < stop").drop("bad", "stop")
+
+
+def grid_coverage(messages: DataFrame, grid: DataFrame, lost: DataFrame, verifiable: bool, silence: int = 60_000_000_000) -> DataFrame:
+    """State of each grid instant ``t`` per series: missing, invalid, unknown, verified or observed_unverifiable.
+
+    Missing: before the first or after the last message, inside a silence or a stated loss (``lost_from``, null: open,
+    to ``lost_to``).  Invalid: after a suspect message not followed by a snapshot.  Unknown: no snapshot since the
+    start, the last silence or the last loss.  Messages and instants meet in one running window per series.
+    """
+    w = Window.partitionBy(*KEYS).orderBy("recv_wall", "first_ordinal")
+    seen = messages.select(*KEYS, "recv_wall", "first_ordinal", "event", "suspect").withColumn("before", F.lag("recv_wall").over(w)).withColumn("after", F.lead("recv_wall").over(w))
+    cuts = lost.select(F.col("venue").alias("lost_venue"), "lost_from", "lost_to")
+    cut = seen.join(cuts, (F.col("venue") == F.col("lost_venue")) & (F.col("lost_to") <= F.col("recv_wall")) & (F.col("lost_to") > F.col("before")), "left_semi").select(*KEYS, "first_ordinal", F.lit(True).alias("cut"))
+    seen = seen.join(cut, [*KEYS, "first_ordinal"], "left")
+    n = F.row_number().over(w)
+    seen = seen.withColumn("n", n)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    at = lambda when: F.coalesce(F.max(F.when(when, F.col("n"))).over(upto), F.lit(0))
+    fresh = F.col("event") == 0
+    breaks = F.coalesce("cut", F.lit(False)) | F.coalesce(F.col("recv_wall") - F.col("before") > silence, F.lit(False))
+    known = seen.withColumn("snapshot", at(fresh)).withColumn("broken", at(breaks)).withColumn("tainted", at(F.col("suspect")))
+    state = F.when((F.col("tainted") > 0) & (F.col("tainted") >= F.col("snapshot")), "invalid").when((F.col("snapshot") == 0) | (F.col("snapshot") < F.col("broken")), "unknown").otherwise("verified" if verifiable else "observed_unverifiable")
+    told = known.select(*KEYS, F.col("recv_wall").alias("t"), F.lit(0).alias("probe"), "n", F.struct("n", state.alias("state"), F.col("recv_wall").alias("last"), F.col("after").alias("next")).alias("o"))
+    asked = grid.select(*KEYS, "t", F.lit(1).alias("probe"), F.lit(0).alias("n"), F.lit(None).cast(told.schema["o"].dataType).alias("o"))
+    run = Window.partitionBy(*KEYS).orderBy("t", "probe", "n").rowsBetween(Window.unboundedPreceding, 0)
+    rows = told.unionByName(asked).withColumn("w", F.max("o").over(run)).where("probe = 1").select(*KEYS, "t", "w.*")
+    gone = rows.join(cuts, (F.col("venue") == F.col("lost_venue")) & (F.col("t") < F.col("lost_to")) & (F.col("lost_from").isNull() | (F.col("t") > F.col("lost_from"))), "left_semi").select(*KEYS, "t", F.lit(True).alias("gone"))
+    rows = rows.join(gone.distinct(), [*KEYS, "t"], "left")
+    outside = F.col("n").isNull() | (F.col("next").isNull() & (F.col("t") > F.col("last")))
+    silent = F.coalesce((F.col("next") - F.col("last") > silence) & (F.col("t") > F.col("last")), F.lit(False))
+    return rows.select(*KEYS, "t", F.when(outside | silent | F.col("gone").isNotNull(), "missing").otherwise(F.col("state")).alias("state"))
