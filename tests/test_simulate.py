@@ -1,0 +1,84 @@
+"""The market fold by hand, controls, and what follows from runs."""
+
+import pytest
+
+from tidebook.operators import simulate as sim
+from tidebook.operators.book import LevelBook
+
+U = 10**9
+NOW = sim.Terms(entry_ms=(0, 0, 0, 0), data_ms=(0, 0, 0, 0), taker_bps=10)
+
+
+def book(bids, asks):
+    b = LevelBook()
+    b.apply(0, True, [(0, p * U, int(q * U)) for p, q in bids] + [(1, p * U, int(q * U)) for p, q in asks])
+    return b
+
+
+def test_taker_walks_levels_and_pays():
+    m, b = sim.Market(NOW), book([(99, 1)], [(101, 1), (102, 5)])
+    m.submit(0, 2.0, None, 0)
+    m.activate(b, 0)
+    assert m.inventory == 2 and m.cash == pytest.approx(-203 * 1.001) and m.counts["short"] == 0
+    m.submit(1, 3.0, None, 0)
+    m.activate(b, 0)
+    assert m.inventory == 1 and m.counts["short"] == 1 and m.equity(100.0) == pytest.approx(m.cash + 100)
+
+
+def test_maker_waits_its_turn():
+    m, b = sim.Market(NOW), book([(99, 2)], [(101, 1)])
+    own = m.submit(0, 1.0, 99 * U, 0)
+    m.activate(b, 0)
+    b.apply(1, True, [(0, 99 * U, U)])
+    m.on_message([(0, 99 * U, 2.0)], None, b, 1)  # one cancelled ahead
+    assert m.resting[0].ahead == 1 and not m.fills
+    b.apply(1, True, [(0, 99 * U, 0)])
+    m.on_message([(0, 99 * U, 1.0)], 1.0, b, 2)  # one traded: just what was ahead
+    assert m.resting[0].ahead == 0 and not m.fills
+    b.apply(1, True, [(1, 99 * U, U // 2)])
+    m.on_message([(1, 99 * U, 0.0)], None, b, 3)
+    assert m.inventory == 0.5 and m.fills[0][5] == "crossing" and m.resting[0].left == 0.5
+    assert m.modify(own, 99 * U, 0.25, 4) == own and m.modify(own, 98 * U, 0.25, 4) != own and not m.resting
+    m.cancel_all(5)
+    m.activate(b, 5)
+    assert not m.waiting and m.counts["cancelled"] == 2
+
+
+def test_limits_refuse_and_stop():
+    terms = sim.Terms(max_inventory=1, max_position=1.5, max_exposure=150, least_pnl=-1)
+    m, r = sim.Market(terms), sim.Risk(terms)
+    ask = lambda side, size, mid=100.0, price=None: r.refusal(m, side, size, mid, price, (99.0, 101.0))
+    assert [ask(0, 1), ask(0, 0), ask(0, float("nan")), ask(0, 1, None), ask(0, 1.2), ask(0, 1, 200.0), ask(0, 1, price=101.0), ask(1, 1, price=99.0), ask(1, 1, price=99.5)] == [
+        None, "size", "size", "one_sided", "inventory", "exposure", "would_cross", "would_cross", None]
+    m.submit(0, 1.0, 99 * U, 0)
+    assert ask(0, 1) == "position" and r.held()
+    assert r.observe(m, 100.0, -2.0) and r.stopped and r.held() and ask(0, 0.1) == "stopped"
+
+
+def test_tick_and_plans():
+    assert sim.to_tick(100.007, 10_000_000, 0) == 100 * U and sim.to_tick(100.001, 10_000_000, 1) == 100_010_000_000
+    made = sim.plans({"no_trade": {}, "fixed": {"a": [1, 2], "b": [3]}})
+    assert [(p["strategy"], p["params"], p["place"]) for p in made] == [("no_trade", "", 0), ("fixed", "a=1,b=3", 1), ("fixed", "a=2,b=3", 2)]
+
+
+def test_decisions_never_see_ahead_unless_told_to():
+    messages = [(i * sim.MS, 0 if i == 0 else 1, [(0, (99 - i % 2) * U, 3 * U), (1, (101 + i % 3) * U, U)], None) for i in range(50)]
+    sets = sim.plans({"no_trade": {}, "fixed_spread_mm": {"half_spread_bps": [50], "requote_ms": [5], "size": [0.1]}, "depth_imbalance": {"depth": [1], "threshold": [0.2], "horizon_ms": [10], "size": [0.1]}})
+    fair, again, peeked = (sim.run_window(messages, sets, sim.Terms(), ("v", "s", 0), p) for p in (False, False, True))
+    assert fair == again and all(r["leaks"] == 0 for r in fair) and all(r["leaks"] == 49 for r in peeked)
+    assert fair[0]["pnl"] == 0 and fair[1]["submitted"] > 0 and fair[2]["fills"] > 0
+
+
+def test_choice_looks_back_only(spark):
+    runs = [("v", "s", w, "a", f"p{p}", p, float(x), 1.0 + p, 1.0, 1, 1, 1, 0, True, 0, 0.1, 0.1) for w, xs in enumerate([(1, 1), (5, -9), (-3, 7)]) for p, x in enumerate(xs)]
+    runs += [(*r[:3], "b", *r[4:6], -1.0, *r[7:]) for r in runs]
+    df = spark.createDataFrame(runs, "venue string, symbol string, window bigint, strategy string, params string, place int, pnl double, turnover double, drawdown double, fills long, submitted long, filled long, stops long, controls_held boolean, leaks long, max_inventory double, mean_inventory double")
+    held = sim.walk_forward(df)
+    assert {(r["strategy"], r["window"]): (r["place"], r["pnl"]) for r in held.collect()} == {("a", 1): (0, 5.0), ("a", 2): (0, -3.0), ("b", 1): (0, -1.0), ("b", 2): (0, -1.0)}
+    sums = {r["strategy"]: r for r in sim.totals(held, ["v"]).collect()}
+    assert sums["a"]["pnl"] == 2 and sums["a"]["agreeing"] == 1 and sums["b"]["agreeing"] == 2 and sums["a"]["fill_rate"] == 1
+    agree = sim.direction_agreement(held, ["v"])
+    assert {r["strategy"]: r["agreeing"] for r in agree.collect()} == {"a": 1, "b": 2}
+    interval = sim.total_interval(held, ["v"], 1, 200, 3)
+    got = {r["clause"]: r["passed"] for r in sim.gate(sim.totals(held, ["v"]), interval, agree, "a", ["b"], True).collect()}
+    assert got == {"no_leakage": True, "risk_controls": True, "beats_b": True, "interval_above_zero": False, "direction_agreement": False, "costs_charged": True}

@@ -1,0 +1,456 @@
+"""Strategies against recorded books: queues, fills, costs, limits, and walk-forward choice of parameters.
+
+The message fold is sequential within a window of time, so a window is one task; all parameter sets step through it
+together, over one book.  What follows from the runs (choice, totals, agreement, gate) is DataFrame aggregation.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from collections import Counter, deque
+from dataclasses import dataclass, field
+from itertools import product
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions.expr import floor_bucket
+from .book import LevelBook
+
+MS = 1_000_000
+SCALE = 1e9
+#: Levels that a taker, or a crossing of a resting order, reaches into.
+REACH = 64
+DUST = 1e-12
+
+
+@dataclass(frozen=True)
+class Terms:
+    """Costs in basis points, latency legs as (shift, mean excess, least, most) in ms, limits, and the price tick in units."""
+
+    taker_bps: float = 10.0
+    rebate_bps: float = 0.0
+    slippage_bps: float = 0.0
+    entry_ms: tuple[float, float, float, float] = (5.0, 5.0, 0.0, 500.0)
+    data_ms: tuple[float, float, float, float] = (5.0, 5.0, 0.0, 500.0)
+    max_inventory: float = 1.0
+    max_position: float = 2.0
+    max_exposure: float = 1e6
+    least_pnl: float = -1e6
+    tick: int = 10_000_000
+    seed: int = 1
+
+
+@dataclass
+class Order:
+    id: int
+    side: int
+    price: int | None
+    size: float
+    due: int
+    left: float = 0.0
+    ahead: float = 0.0
+
+
+def at_price(book: LevelBook, side: int, price: int) -> float:
+    return book.qty[side].get(price, 0) / SCALE
+
+
+def best_first(book: LevelBook, side: int, n: int = REACH) -> list[int]:
+    order = book.prices[side]
+    return order[: -n - 1 : -1] if side == 0 else order[:n]
+
+
+def mid_of(book: LevelBook) -> float | None:
+    bid, ask = book.best(0), book.best(1)
+    return None if bid is None or ask is None else (bid + ask) / 2 / SCALE
+
+
+def to_tick(price: float, tick: int, side: int) -> int:
+    """The grid price no nearer to the mid: bids down, asks up."""
+    units = round(price * SCALE)
+    return units // tick * tick if side == 0 else -(-units // tick) * tick
+
+
+@dataclass
+class Market:
+    """One strategy's orders, cash and inventory.  A resting order waits behind what stood at its price when it became
+    effective; trades at the price eat that first, other decreases are taken for cancels ahead of it."""
+
+    terms: Terms
+    cash: float = 0.0
+    inventory: float = 0.0
+    fees: float = 0.0
+    turnover: float = 0.0
+    mid: float | None = None
+    waiting: list[Order] = field(default_factory=list)
+    cancels: list[tuple[int, int]] = field(default_factory=list)
+    resting: list[Order] = field(default_factory=list)
+    fills: list[tuple] = field(default_factory=list)
+    counts: Counter = field(default_factory=Counter)
+    made: int = 0
+
+    def submit(self, side: int, size: float, price: int | None, due: int) -> int:
+        self.made += 1
+        self.counts["submitted"] += 1
+        self.waiting.append(Order(self.made, side, price, size, due))
+        return self.made
+
+    def cancel_all(self, due: int) -> None:
+        self.cancels += [(due, o.id) for o in (*self.resting, *self.waiting)]
+
+    def modify(self, name: int, price: int, size: float, due: int) -> int | None:
+        """A smaller size at the same price keeps its place; any other change is a new order."""
+        own = next((o for o in self.resting if o.id == name), None)
+        if own is None:
+            return None
+        if price == own.price and size <= own.left:
+            own.left = size
+            return name
+        self.resting.remove(own)
+        self.counts["cancelled"] += 1
+        return self.submit(own.side, size, price, due)
+
+    def working(self, side: int) -> float:
+        return sum(o.left for o in self.resting if o.side == side) + sum(o.size for o in self.waiting if o.side == side)
+
+    def activate(self, book: LevelBook, now: int) -> None:
+        due = {name for at, name in self.cancels if at <= now}
+        self.cancels = [c for c in self.cancels if c[0] > now]
+        for own in (self.resting, self.waiting):
+            kept = [o for o in own if o.id not in due]
+            self.counts["cancelled"] += len(own) - len(kept)
+            own[:] = kept
+        ready = [o for o in self.waiting if o.due <= now]
+        self.waiting = [o for o in self.waiting if o.due > now]
+        for o in ready:
+            if o.price is None:
+                self._take(o, book, now)
+            else:
+                o.left, o.ahead = o.size, at_price(book, o.side, o.price)
+                self.resting.append(o)
+
+    def _take(self, o: Order, book: LevelBook, now: int) -> None:
+        left = o.size
+        for price in best_first(book, 1 - o.side):
+            size = min(left, at_price(book, 1 - o.side, price))
+            if size <= 0:
+                continue
+            paid = price / SCALE * (1 + (1 if o.side == 0 else -1) * self.terms.slippage_bps / 1e4)
+            self._fill(o, now, paid, size, abs(paid * size) * self.terms.taker_bps / 1e4, "aggression", 0.0)
+            left -= size
+            if left <= 0:
+                break
+        self.counts["filled"] += left < o.size
+        self.counts["short"] += left > DUST
+
+    def _fill(self, o: Order, now: int, price: float, size: float, fee: float, cause: str, ahead: float) -> None:
+        sign = 1 if o.side == 0 else -1
+        self.cash -= sign * price * size + fee
+        self.inventory += sign * size
+        self.fees += fee
+        self.turnover += abs(price * size)
+        self.counts[cause] += 1
+        self.fills.append((now, o.side, price, size, fee, cause, ahead))
+
+    def _made(self, o: Order, now: int, size: float, cause: str, ahead: float) -> None:
+        price = o.price / SCALE
+        o.left -= size
+        self.counts["filled"] += 1
+        self._fill(o, now, price, size, -abs(price * size) * self.terms.rebate_bps / 1e4, cause, ahead)
+
+    def reseed(self, book: LevelBook) -> None:
+        for o in self.resting:
+            o.ahead = at_price(book, o.side, o.price)
+
+    def on_message(self, before: list[tuple[int, int, float]], traded: float | None, book: LevelBook, now: int) -> None:
+        """``before``: side, price and quantity of each level that the message wrote, as it stood."""
+        falls = [(s, p, q - at_price(book, s, p)) for s, p, q in before]
+        falls = [x for x in falls if x[2] > 0]
+        total = sum(x[2] for x in falls)
+        if not falls and traded:
+            self.counts["trade_without_level"] += 1
+        for side, price, fall in falls:
+            here = (traded or 0.0) * fall / total
+            for o in self.resting:
+                if (o.side, o.price) == (side, price):
+                    ahead, eaten = o.ahead, min(o.ahead, here)
+                    o.ahead = max(ahead - eaten - max(fall - here, 0.0), 0.0)
+                    if (size := min(o.left, here - eaten)) > 0:
+                        self._made(o, now, size, "trade", ahead)
+        for o in self.resting:
+            other = book.best(1 - o.side)
+            if o.left > DUST and other is not None and (other <= o.price if o.side == 0 else other >= o.price):
+                through = sum(at_price(book, 1 - o.side, p) for p in best_first(book, 1 - o.side) if (p <= o.price if o.side == 0 else p >= o.price))
+                ahead, eaten = o.ahead, min(o.ahead, through)
+                o.ahead -= eaten
+                if (size := min(o.left, through - eaten)) > 0:
+                    self._made(o, now, size, "crossing", ahead)
+        self.resting = [o for o in self.resting if o.left > DUST]
+        self.mid = mid_of(book)
+
+    def equity(self, mid: float | None) -> float | None:
+        if abs(self.inventory) <= DUST:
+            return self.cash
+        mark = self.mid if mid is None else mid
+        return None if mark is None else self.cash + self.inventory * mark
+
+
+@dataclass
+class Risk:
+    """What may be sent, and the switch that stops all sending once a limit has been passed."""
+
+    terms: Terms
+    stopped: bool = False
+    stops: int = 0
+    refused: Counter = field(default_factory=Counter)
+    breaches: Counter = field(default_factory=Counter)
+    most: float = 0.0
+    total: float = 0.0
+    samples: int = 0
+
+    def refusal(self, m: Market, side: int, size: float, mid: float | None, price: float | None, touch: tuple[float | None, float | None]) -> str | None:
+        t, sign = self.terms, 1 if side == 0 else -1
+        after = m.inventory + sign * size if math.isfinite(size) else math.inf
+        if self.stopped:
+            why = "stopped"
+        elif not math.isfinite(size) or size <= 0:
+            why = "size"
+        elif mid is None:
+            why = "one_sided"
+        elif abs(after) > t.max_inventory + DUST:
+            why = "inventory"
+        elif abs(after + sign * m.working(side)) > t.max_position + DUST:
+            why = "position"
+        elif abs(after) * mid > t.max_exposure + 1e-9:
+            why = "exposure"
+        elif price is not None and (touch[1] is not None and price >= touch[1] if side == 0 else touch[0] is not None and price <= touch[0]):
+            why = "would_cross"
+        else:
+            return None
+        self.refused[why] += 1
+        return why
+
+    def observe(self, m: Market, mid: float | None, pnl: float | None) -> bool:
+        """Whether a limit is passed now; the first time stops all."""
+        held = abs(m.inventory)
+        self.most, self.total, self.samples = max(self.most, held), self.total + held, self.samples + 1
+        found = [n for n, x in (("inventory", held > self.terms.max_inventory + DUST), ("exposure", mid is not None and held * mid > self.terms.max_exposure + 1e-9), ("loss", pnl is not None and pnl < self.terms.least_pnl)) if x]
+        self.breaches.update(found)
+        if found and not self.stopped:
+            self.stopped, self.stops = True, self.stops + 1
+        return bool(found)
+
+    def held(self) -> bool:
+        return self.stopped and self.stops > 0 if self.breaches else not self.stops
+
+
+def plans(spec: dict[str, dict[str, list]]) -> list[dict]:
+    """Every combination of each strategy's parameter values, numbered in order."""
+    out = []
+    for name, axes in spec.items():
+        for values in product(*axes.values()):
+            own = dict(zip(axes, values, strict=True))
+            out.append({"strategy": name, "params": ",".join(f"{k}={v}" for k, v in own.items()), "place": len(out), **own})
+    return out
+
+
+def imbalance_of(book: LevelBook, depth: int) -> float | None:
+    """Of the best ``depth`` levels; none if either side has fewer."""
+    if min(map(len, book.prices)) < depth:
+        return None
+    bid, ask = (sum(book.qty[s][p] for p in best_first(book, s, depth)) for s in (0, 1))
+    return (bid - ask) / (bid + ask) if bid + ask else None
+
+
+class Strategy:
+    """What a plan does at a decision: cancel (None), or (side, size, price or None for a taker)."""
+
+    def __init__(self, plan: dict):
+        self.plan, self.quoted, self.side, self.entered = plan, None, 0, 0
+
+    def decide(self, now: int, book: LevelBook, mid: float | None, inventory: float, limit: float) -> list:
+        p = self.plan
+        if p["strategy"] == "no_trade":
+            return []
+        lean = imbalance_of(book, p["depth"]) if "depth" in p else 0.0
+        if lean is None:
+            return []
+        if p["strategy"] == "depth_imbalance":
+            sign = (lean > p["threshold"]) - (lean < -p["threshold"])
+            if self.side:
+                if now - self.entered < p["horizon_ms"] * MS and sign in (0, self.side):
+                    return []
+                self.side = 0
+                return [(1 if inventory > 0 else 0, abs(inventory), None)] if inventory else []
+            if sign:
+                self.side, self.entered = sign, now
+                return [(0 if sign > 0 else 1, p["size"], None)]
+            return []
+        if mid is None or (self.quoted is not None and now - self.quoted < p["requote_ms"] * MS):
+            return []
+        self.quoted = now
+        share = max(-1.0, min(1.0, inventory / limit)) if limit > 0 else 0.0
+        centre = mid * (1 + (p.get("skew_bps", 0.0) * lean - p.get("inventory_bps", 0.0) * share) / 1e4)
+        edge = mid * p["half_spread_bps"] / 1e4
+        return [None, (0, p["size"], centre - edge), (1, p["size"], centre + edge)]
+
+
+class Delay:
+    """Shifted exponential delays, the same at every run of the same name."""
+
+    def __init__(self, terms: Terms, *name: object):
+        self.rng = np.random.default_rng(int.from_bytes(hashlib.sha256(repr((terms.seed, *name)).encode()).digest()[:8], "little"))
+        self.entries: list[float] = []
+
+    def draw(self, leg: tuple[float, float, float, float]) -> float:
+        shift, mean, low, high = leg
+        return max(low, min(high, shift + self.rng.exponential(mean) if mean > 0 else shift))
+
+    def entry(self, terms: Terms) -> int:
+        self.entries.append(self.draw(terms.entry_ms))
+        return round(self.entries[-1] * MS)
+
+
+def quantile(values: list[float], q: float) -> float | None:
+    return sorted(values)[math.floor(q * (len(values) - 1) + 0.5)] if values else None
+
+
+def run_window(messages: list[tuple[int, int, list[tuple[int, int, int]], float | None]], sets: list[dict], terms: Terms, name: tuple, peek: bool = False) -> list[dict]:
+    """A row per plan from messages ``(recv_wall, event, levels, traded)``.
+
+    Decisions see the book as it was when its data had arrived; orders meet the true one.  ``peek`` is a control that
+    shows each decision the next message, which ``leaks`` must then count.
+    """
+    data = Delay(terms, "data", *name)
+    true, seen = LevelBook(), LevelBook()
+    arriving: deque = deque()
+    own = [(p, Strategy(p), Market(terms), Risk(terms), Delay(terms, *name, p["strategy"], p["params"])) for p in sets]
+    peak, fall, leaks = [-math.inf] * len(own), [0.0] * len(own), [0] * len(own)
+    source = 0
+    for i, (now, event, levels, traded) in enumerate(messages):
+        arriving.append((now + round(data.draw(terms.data_ms) * MS), i))
+        while arriving and arriving[0][0] <= now:
+            j = arriving.popleft()[1]
+            seen.apply(messages[j][1], True, messages[j][2])
+            source = max(source, messages[j][0])
+        before = [(s, p, at_price(true, s, p)) for s, p, _ in levels]
+        true.apply(event, True, levels)
+        mid, told = mid_of(true), mid_of(seen)
+        sighted = source
+        if peek and i + 1 < len(messages) and messages[i + 1][2]:
+            told, sighted = messages[i + 1][2][0][1] / SCALE, messages[i + 1][0] + 1
+        touch = tuple(None if seen.best(s) is None else seen.best(s) / SCALE for s in (0, 1))
+        for k, (_, strategy, market, risk, delay) in enumerate(own):
+            if event == 0:
+                market.reseed(true)
+            market.on_message(before, traded, true, now)
+            market.activate(true, now)
+            worth = market.equity(mid)
+            if worth is not None:
+                peak[k] = max(peak[k], worth)
+                fall[k] = max(fall[k], peak[k] - worth)
+            if risk.observe(market, mid, worth):
+                market.cancel_all(now + delay.entry(terms))
+            leaks[k] += sighted > now
+            for act in strategy.decide(now, seen, told, market.inventory, terms.max_inventory):
+                if act is None:
+                    market.cancel_all(now + delay.entry(terms))
+                elif risk.refusal(market, act[0], act[1], told, act[2], touch) is None:
+                    side, size, price = act
+                    market.submit(side, size, None if price is None else to_tick(price, terms.tick, side), now + delay.entry(terms))
+    out = []
+    for k, (plan, _, m, risk, delay) in enumerate(own):
+        out.append({
+            "strategy": plan["strategy"], "params": plan["params"], "place": plan["place"], "messages": len(messages), "pnl": m.equity(m.mid), "fees": m.fees, "turnover": m.turnover, "inventory": m.inventory, "drawdown": fall[k],
+            "fills": len(m.fills), "submitted": m.counts["submitted"], "filled": m.counts["filled"], "refused": sum(risk.refused.values()), "stops": risk.stops, "controls_held": risk.held(), "leaks": leaks[k],
+            "max_inventory": risk.most, "mean_inventory": risk.total / risk.samples if risk.samples else None, "latency_p50": quantile(delay.entries, 0.5), "latency_p99": quantile(delay.entries, 0.99),
+        })
+    return out
+
+
+RUNS = (
+    "venue string, symbol string, window bigint, strategy string, params string, place int, messages bigint, pnl double, fees double, turnover double, inventory double, drawdown double, fills bigint, submitted bigint, filled bigint,"
+    " refused bigint, stops bigint, controls_held boolean, leaks bigint, max_inventory double, mean_inventory double, latency_p50 double, latency_p99 double"
+)
+
+
+def simulate(rows: DataFrame, width: int, sets: list[dict], terms: Terms, peek: bool = False) -> DataFrame:
+    """Every plan over every window of ``width`` nanoseconds, from the window's first snapshot on; windows without one
+    give no rows.  ``rows`` are archive rows; ``traded_qty``, where there, is what a row traded."""
+    trades = "traded_qty" in rows.columns
+    names = [x.split()[0] for x in RUNS.split(", ")]
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        f = frame.sort_values("row_ordinal")
+        messages = []
+        for _, part in f.groupby("msg_index", sort=False):
+            t = part["traded_qty"].sum(min_count=1) / SCALE if trades else None
+            messages.append((int(part["recv_wall"].max()), int(part["event"].iloc[0]), list(zip(part["side"].tolist(), part["price"].tolist(), part["qty"].tolist(), strict=True)), None if t is None or t != t else float(t)))
+        first = next((i for i, m in enumerate(messages) if m[1] == 0), None)
+        if first is None:
+            return pd.DataFrame(columns=names)
+        key = (str(f["venue"].iloc[0]), str(f["symbol"].iloc[0]), int(f["window"].iloc[0]))
+        out = pd.DataFrame(run_window(messages[first:], sets, terms, key, peek))
+        out["venue"], out["symbol"], out["window"] = key
+        return out[names]
+
+    columns = ["venue", "symbol", "msg_index", "row_ordinal", "event", "recv_wall", "side", "price", "qty", *(["traded_qty"] if trades else [])]
+    placed = rows.select(*columns, floor_bucket(F.col("recv_wall"), width).alias("window"))
+    return placed.groupBy("venue", "symbol", "window").applyInPandas(run, RUNS)
+
+
+def walk_forward(runs: DataFrame) -> DataFrame:
+    """Per series, strategy and window but the first: the run of the parameters that did best over the windows before,
+    ties to the lower turnover, then to the earlier set."""
+    past = Window.partitionBy("venue", "symbol", "strategy", "place").orderBy("window").rowsBetween(Window.unboundedPreceding, -1)
+    known = runs.withColumn("past_pnl", F.sum("pnl").over(past)).withColumn("past_turnover", F.sum("turnover").over(past)).withColumn("past_windows", F.count("*").over(past)).where("past_windows > 0")
+    best = Window.partitionBy("venue", "symbol", "strategy", "window").orderBy(F.desc_nulls_last("past_pnl"), "past_turnover", "place")
+    return known.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n")
+
+
+def totals(held: DataFrame, verifiable: list[str]) -> DataFrame:
+    """Per strategy over venues whose feeds can show loss."""
+    agree = F.signum("pnl") * F.signum(F.sum("pnl").over(Window.partitionBy("strategy"))) > 0
+    rows = held.where(F.col("venue").isin(verifiable)).withColumn("agrees", agree)
+    return rows.groupBy("strategy").agg(
+        F.count("*").alias("windows"), F.sum("pnl").alias("pnl"), F.max("drawdown").alias("drawdown"), F.sum("turnover").alias("turnover"), F.sum("fills").alias("fills"), F.sum("submitted").alias("submitted"),
+        F.try_divide(F.sum("filled"), F.sum("submitted")).alias("fill_rate"), F.max("max_inventory").alias("max_inventory"), F.avg("mean_inventory").alias("mean_inventory"), F.sum("stops").alias("stops"), F.sum("leaks").alias("leaks"),
+        F.bool_and("controls_held").alias("controls_held"), F.count_if(F.col("pnl") > 0).alias("positive"), F.count_if("agrees").alias("agreeing"))
+
+
+def direction_agreement(held: DataFrame, verifiable: list[str]) -> DataFrame:
+    """Per strategy the number of windows whose summed result has the sign of the whole."""
+    at = held.where(F.col("venue").isin(verifiable)).groupBy("strategy", "window").agg(F.sum("pnl").alias("pnl"))
+    whole = F.sum("pnl").over(Window.partitionBy("strategy"))
+    return at.withColumn("same", F.signum("pnl") * F.signum(whole) > 0).groupBy("strategy").agg(F.count("*").alias("windows"), F.count_if("same").alias("agreeing"))
+
+
+def total_interval(held: DataFrame, verifiable: list[str], block: int, draws: int, seed: int) -> DataFrame:
+    """Moving-block interval of each strategy's summed result; a unit is one series and window."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        x = f.sort_values(["window", "venue", "symbol"])["pnl"].dropna().to_numpy(float)
+        n = len(x)
+        low = high = None
+        if n and 0 < block <= n and draws > 0:
+            starts = np.random.default_rng(seed).integers(0, n - block + 1, (draws, -(-n // block)))
+            got = np.sort(x[(starts[:, :, None] + np.arange(block)).reshape(draws, -1)[:, :n]].sum(1))
+            low, high = (float(got[math.floor(q * (draws - 1) + 0.5)]) for q in (0.025, 0.975))
+        return pd.DataFrame([(f["strategy"].iloc[0], n, float(x.sum()), low, high)], columns=["strategy", "units", "total", "low", "high"])
+
+    rows = held.where(F.col("venue").isin(verifiable)).select("strategy", "venue", "symbol", "window", "pnl")
+    return rows.groupBy("strategy").applyInPandas(run, "strategy string, units long, total double, low double, high double")
+
+
+def gate(sums: DataFrame, interval: DataFrame, agreement: DataFrame, candidate: str, baselines: list[str], charged: bool, least_agreeing: int = 3) -> DataFrame:
+    """``clause, passed``: what a candidate must meet; it is promoted only if all pass."""
+    own = F.col("strategy") == candidate
+    of = lambda name: F.max(F.when(F.col("strategy") == name, F.col("pnl")))
+    facts = sums.agg(F.sum("leaks").alias("leaks"), F.bool_and("controls_held").alias("controls"), of(candidate).alias("own"), *[of(b).alias(f"base_{b}") for b in baselines])
+    facts = facts.crossJoin(interval.agg(F.max(F.when(own, F.col("low"))).alias("low"))).crossJoin(agreement.agg(F.max(F.when(own, F.col("agreeing"))).alias("agreeing")))  # three tables of one row each
+    clauses = [("no_leakage", F.col("leaks") == 0), ("risk_controls", F.col("controls")), *[(f"beats_{b}", F.col("own") > F.col(f"base_{b}")) for b in baselines], ("interval_above_zero", F.col("low") > 0), ("direction_agreement", F.col("agreeing") >= least_agreeing), ("costs_charged", F.lit(charged))]
+    return facts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("clause"), F.coalesce(c, F.lit(False)).alias("passed")) for n, c in clauses])).alias("x")).select("x.clause", "x.passed")
