@@ -39,3 +39,23 @@ def latest(observed: DataFrame, watermark: int, ttl: int) -> DataFrame:
 
 def grid(entities: DataFrame, start: int, end: int, step: int) -> DataFrame:
     return entities.select("entity").distinct().select("entity", F.explode(F.sequence(F.lit(start), F.lit(end), F.lit(step))).alias("as_of"))
+
+
+def edges(observed: DataFrame, start: int, end: int, step: int) -> DataFrame:
+    """Probes where an answer may change: an even grid, and each arrival with the instants just before and after."""
+    near = observed.where("available_at is not null").select("entity", F.explode(F.array(F.col("available_at") - 1, F.col("available_at"), F.col("available_at") + 1)).alias("as_of"))
+    return grid(observed, start, end, step).union(near).distinct()
+
+
+def paced(messages: DataFrame, speed: float) -> DataFrame:
+    """``wait_ns``: how long after the message before it each is due at ``speed`` times real time; a clock that steps
+    back makes no debt."""
+    w = Window.partitionBy("venue", "symbol").orderBy("first_ordinal")
+    gap = F.col("recv_wall") - F.lag("recv_wall").over(w)
+    return messages.withColumn("wait_ns", F.floor(F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)) / speed).cast("bigint"))
+
+
+def compare_reports(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two tables of ``metric, value`` side by side, with the change where both have one."""
+    both = a.select("metric", F.col("value").alias("before")).join(b.select("metric", F.col("value").alias("after")), "metric", "full")
+    return both.withColumn("delta", F.col("after") - F.col("before"))
