@@ -10,7 +10,8 @@ from .sources.order_tape import derived_orders
 
 _own = Registry()
 query = _own.query
-AT = 900
+#: After every event of the tape.
+AT = 1 << 60
 
 _EVENTS = r"""WITH x0 AS (SELECT event_id AS ordinal, event_id % 28 // 7 AS turn, event_id % 7 + 7 * (event_id // 28) AS o, CAST(regexp_extract(props, '"k": (-?\d+)', 1) AS BIGINT) AS k FROM events),
 ev AS (SELECT CASE WHEN o % 4 < 2 THEN 'bitstamp' ELSE 'kraken' END AS venue, 'BTC-USD' AS symbol, ordinal,
@@ -68,14 +69,14 @@ def queue_positions(spark, sf_dir):
 
 @query(_AT + " SELECT venue, symbol, side, price, CAST(sum(qty) AS BIGINT) AS qty, count(*) AS orders FROM here GROUP BY ALL")
 def orders_to_levels(spark, sf_dir):
-    return orders.to_levels(_done(spark, sf_dir), AT)
+    return orders.to_levels(orders.standing(_done(spark, sf_dir), AT))
 
 
-@query(_AT + f""", a AS (SELECT venue, symbol, side, price, sum(qty) AS qa FROM here GROUP BY ALL), b AS (SELECT venue, symbol, side, price, sum(qty) AS qb FROM s5 WHERE rests AND ordinal <= {AT + 28} AND (nxt IS NULL OR nxt > {AT + 28}) GROUP BY ALL)
+@query(_AT + """, a AS (SELECT venue, symbol, side, price, sum(qty) AS qa FROM here GROUP BY ALL), b AS (SELECT venue, symbol, side, price, sum(qty) AS qb FROM here WHERE NOT shaken GROUP BY ALL)
 SELECT venue, symbol, count(*) FILTER (qa = qb) AS equal, count(*) FILTER (qa <> qb) AS differ, count(*) FILTER (qb IS NULL) AS only_first, count(*) FILTER (qa IS NULL) AS only_second FROM a FULL JOIN b USING (venue, symbol, side, price) GROUP BY ALL""")
 def order_reconciliation(spark, sf_dir):
-    done = _done(spark, sf_dir)
-    return orders.reconcile(orders.to_levels(done, AT), orders.to_levels(done, AT + 28))
+    here = orders.standing(_done(spark, sf_dir), AT)
+    return orders.reconcile(orders.to_levels(here), orders.to_levels(here.where(F.col("certainty") == orders.OBSERVED)))
 
 
 @query(_EVENTS + " SELECT venue, symbol, ordinal - ordinal % 100 AS bucket, CAST(sum(traded) AS BIGINT) AS traded, count(*) FILTER (traded > 0) AS trades FROM s5 WHERE traded IS NOT NULL GROUP BY ALL")

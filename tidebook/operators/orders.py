@@ -92,7 +92,7 @@ def incomplete_levels(done: DataFrame, at: int) -> DataFrame:
 
 def queues(done: DataFrame, at: int) -> DataFrame:
     """Every order that rests at an ordinal: its place in its queue, the quantity ahead and how sure that is."""
-    here = resting(done).where((F.col("since") <= at) & (F.col("to").isNull() | (F.col("to") > at)))
+    here = standing(done, at)
     unsure = incomplete_levels(done, at).withColumn("unsure", F.lit(UNKNOWN))
     rows = here.join(unsure, LEVEL, "left")
     w = Window.partitionBy(*LEVEL).orderBy("queued")
@@ -103,10 +103,14 @@ def queues(done: DataFrame, at: int) -> DataFrame:
         *ORDER, "side", "price", "qty", (F.row_number().over(w) - 1).cast("bigint").alias("position"), F.coalesce(F.sum("qty").over(ahead), F.lit(0)).alias("qty_ahead"), certainty_name(sure).alias("certainty"))
 
 
-def to_levels(done: DataFrame, at: int) -> DataFrame:
-    """The book by level at an ordinal."""
-    here = resting(done).where((F.col("since") <= at) & (F.col("to").isNull() | (F.col("to") > at)))
-    return here.groupBy(*LEVEL).agg(F.sum("qty").alias("qty"), F.count("*").alias("orders"))
+def standing(done: DataFrame, at: int) -> DataFrame:
+    """The orders that rest at an ordinal."""
+    return resting(done).where((F.col("since") <= at) & (F.col("to").isNull() | (F.col("to") > at)))
+
+
+def to_levels(orders: DataFrame) -> DataFrame:
+    """Resting orders by level."""
+    return orders.groupBy(*LEVEL).agg(F.sum("qty").alias("qty"), F.count("*").alias("orders"))
 
 
 def reconcile(levels: DataFrame, other: DataFrame) -> DataFrame:
