@@ -1,5 +1,7 @@
 """The market fold by hand, controls, and what follows from runs."""
 
+import random
+
 import pytest
 
 from tidebook.operators import simulate as sim
@@ -82,3 +84,27 @@ def test_choice_looks_back_only(spark):
     interval = sim.total_interval(held, ["v"], 1, 200, 3)
     got = {r["clause"]: r["passed"] for r in sim.gate(sim.totals(held, ["v"]), interval, agree, "a", ["b"], True).collect()}
     assert got == {"no_leakage": True, "risk_controls": True, "beats_b": True, "interval_above_zero": False, "direction_agreement": False, "costs_charged": True}
+
+
+def test_windows_begin_with_the_standing_book(spark):
+    rng, rows, events = random.Random(5), [], [1] * 6 + [0, 0] + [1] * 40 + [0] + [1] * 71
+    for i, event in enumerate(events):
+        rows += [("v", "s", i, 4 * i + j, event, 10 * i + 50 * (i > 90), side, (100 + (2 * side - 1) * rng.randint(1, 5)) * U, rng.choice([0, 1, 2, -1]) * U) for j, side in enumerate((0, 1, rng.randint(0, 1)))]
+    df = spark.createDataFrame(rows, "venue string, symbol string, msg_index long, row_ordinal long, event int, recv_wall long, side int, price long, qty long")
+    b, want = LevelBook(), {}
+    for i, event in enumerate(events):
+        own = [r for r in rows if r[2] == i]
+        want.setdefault(own[0][5] // 80 * 80, {(s, p, q) for s in (0, 1) for p, q in b.qty[s].items()})
+        b.apply(event, True, [r[6:] for r in own])
+    got = {w: set() for w in want}
+    for r in sim.standing_levels(df, 80).collect():
+        got[r["window"]].add((r["side"], r["price"], r["qty"]))
+    assert got == want and all(got[w] for w in list(want)[1:])
+    sets = sim.plans({"no_trade": {}, "depth_imbalance": {"depth": [1], "threshold": [0.1], "horizon_ms": [1], "size": [0.1]}})
+    runs = sim.simulate(df, 80, sets, NOW).collect()
+    assert sum(r["messages"] for r in runs) == 2 * len(events) and {r["window"] for r in runs} == set(want)
+    for r in runs:
+        part = [i for i in range(len(events)) if rows[3 * i][5] // 80 * 80 == r["window"]]
+        messages = [(rows[3 * i][5], events[i], [x[6:] for x in rows[3 * i : 3 * i + 3]], None) for i in part]
+        again = sim.run_window(messages, sets, NOW, ("v", "s", r["window"]), False, sorted(want[r["window"]]))
+        assert {k: r[k] for k in again[0]} in again

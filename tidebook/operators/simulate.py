@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import floor_bucket
-from .book import LevelBook
+from .book import EPOCH, KEYS, LevelBook, with_epoch
 
 MS = 1_000_000
 SCALE = 1e9
@@ -319,14 +319,16 @@ def quantile(values: list[float], q: float) -> float | None:
     return sorted(values)[math.floor(q * (len(values) - 1) + 0.5)] if values else None
 
 
-def run_window(messages: list[tuple[int, int, list[tuple[int, int, int]], float | None]], sets: list[dict], terms: Terms, name: tuple, peek: bool = False) -> list[dict]:
-    """A row per plan from messages ``(recv_wall, event, levels, traded)``.
+def run_window(messages: list[tuple[int, int, list[tuple[int, int, int]], float | None]], sets: list[dict], terms: Terms, name: tuple, peek: bool = False, standing: list[tuple[int, int, int]] = ()) -> list[dict]:
+    """A row per plan from messages ``(recv_wall, event, levels, traded)`` over a book that begins with the levels ``standing``.
 
     Decisions see the book as it was when its data had arrived; orders meet the true one.  ``peek`` is a control that
     shows each decision the next message, which ``leaks`` must then count.
     """
     data = Delay(terms, "data", *name)
     true, seen = LevelBook(), LevelBook()
+    for book in (true, seen):
+        book.apply(1, True, list(standing))
     arriving: deque = deque()
     own = [(p, Strategy(p), Market(terms), Risk(terms), Delay(terms, *name, p["strategy"], p["params"])) for p in sets]
     peak, fall, leaks = [-math.inf] * len(own), [0.0] * len(own), [0] * len(own)
@@ -378,29 +380,50 @@ RUNS = (
 )
 
 
+def standing_levels(rows: DataFrame, width: int) -> DataFrame:
+    """``venue, symbol, window, side, price, qty``: the book as it stood before the first message of each window.
+
+    A level stands from its write to the next one or to the next snapshot message; it is seeded into the windows that
+    begin between.  Each series' ``recv_wall`` must not fall in arrival order.
+    """
+    rows = with_epoch(rows)
+    newest = rows.groupBy(*EPOCH).agg(F.max(F.when(F.col("event") == 0, F.col("msg_index"))).alias("newest"))
+    rows = rows.join(newest, EPOCH).withColumn("snap", F.when(F.col("event") == 0, F.col("msg_index")).otherwise(F.col("newest")))
+    at = floor_bucket(F.max("recv_wall"), width)
+    snaps = rows.groupBy(*KEYS, "snap").agg(floor_bucket(F.min("recv_wall"), width).alias("began"))
+    last = rows.groupBy(*KEYS).agg(at.alias("last"))
+    ends = snaps.select(*KEYS, "snap", F.lead("began").over(Window.partitionBy(*KEYS).orderBy(F.asc_nulls_first("snap"))).alias("end")).join(last, KEYS)
+    wrote = rows.where("qty >= 0").groupBy(*KEYS, "snap", "msg_index", "side", "price").agg(F.max_by("qty", "row_ordinal").alias("qty"), at.alias("since"))
+    after = F.lead("since").over(Window.partitionBy(*KEYS, "snap", "side", "price").orderBy("msg_index"))
+    spans = wrote.withColumn("next", after).where("qty > 0").withColumnRenamed("snap", "own")
+    spans = spans.join(ends.withColumnRenamed("venue", "v").withColumnRenamed("symbol", "s"), F.expr("venue = v and symbol = s and own <=> snap"))
+    spans = spans.withColumn("to", F.coalesce("next", "end", "last")).where(F.col("to") > F.col("since"))
+    seeds = spans.select(*KEYS, F.explode(F.sequence(F.col("since") + width, F.col("to"), F.lit(width))).alias("window"), "side", "price", "qty")
+    return seeds.join(rows.select(*KEYS, floor_bucket(F.col("recv_wall"), width).alias("window")).distinct(), [*KEYS, "window"], "left_semi")
+
+
 def simulate(rows: DataFrame, width: int, sets: list[dict], terms: Terms, peek: bool = False) -> DataFrame:
-    """Every plan over every window of ``width`` nanoseconds, from the window's first snapshot on; windows without one
-    give no rows.  ``rows`` are archive rows; ``traded_qty``, where there, is what a row traded."""
+    """Every plan over every window of ``width`` nanoseconds that has messages, each from the book that stood at its
+    start.  ``rows`` are archive rows; ``traded_qty``, where there, is what a row traded."""
     trades = "traded_qty" in rows.columns
     names = [x.split()[0] for x in RUNS.split(", ")]
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        f = frame.sort_values("row_ordinal")
+        seeds, f = frame[frame["standing"]], frame[~frame["standing"]].sort_values("row_ordinal")
         messages = []
         for _, part in f.groupby("msg_index", sort=False):
             t = part["traded_qty"].sum(min_count=1) / SCALE if trades else None
             messages.append((int(part["recv_wall"].max()), int(part["event"].iloc[0]), list(zip(part["side"].tolist(), part["price"].tolist(), part["qty"].tolist(), strict=True)), None if t is None or t != t else float(t)))
-        first = next((i for i, m in enumerate(messages) if m[1] == 0), None)
-        if first is None:
-            return pd.DataFrame(columns=names)
         key = (str(f["venue"].iloc[0]), str(f["symbol"].iloc[0]), int(f["window"].iloc[0]))
-        out = pd.DataFrame(run_window(messages[first:], sets, terms, key, peek))
+        out = pd.DataFrame(run_window(messages, sets, terms, key, peek, list(zip(seeds["side"].tolist(), seeds["price"].tolist(), seeds["qty"].tolist(), strict=True))))
         out["venue"], out["symbol"], out["window"] = key
         return out[names]
 
     columns = ["venue", "symbol", "msg_index", "row_ordinal", "event", "recv_wall", "side", "price", "qty", *(["traded_qty"] if trades else [])]
-    placed = rows.select(*columns, floor_bucket(F.col("recv_wall"), width).alias("window"))
-    return placed.groupBy("venue", "symbol", "window").applyInPandas(run, RUNS)
+    placed = rows.select(*columns, floor_bucket(F.col("recv_wall"), width).alias("window"), F.lit(False).alias("standing"))
+    seeded = standing_levels(rows, width).withColumn("standing", F.lit(True))
+    seeded = seeded.withColumns({c: F.lit(0) for c in columns if c not in seeded.columns})  # a null would make floats of the instants
+    return placed.unionByName(seeded).groupBy("venue", "symbol", "window").applyInPandas(run, RUNS)
 
 
 def walk_forward(runs: DataFrame) -> DataFrame:
