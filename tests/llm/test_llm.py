@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import string
 import zlib
 from collections import Counter
 
@@ -160,6 +162,15 @@ def test_secrets(odd, none):
     assert secret_scan.redact(odd, PATH, PATTERN).exceptAll(odd).count() == 0
 
 
+def test_secret_keys_with_few_digits():
+    encoding, rng = secret_scan._encoding(PATH, PATTERN), random.Random(3)
+    for letters in (string.ascii_letters, string.ascii_letters + string.digits):
+        for n in (20, 24, 32, 40):
+            assert all(secret_scan.random_spans("".join(rng.choices(letters, k=n)), encoding) for _ in range(200))
+    for name in ("this_is_a_very_long_snake_case_name_2", "MAX_BUFFER_SIZE_IN_BYTES_64", "2024-01-01/2024-02-01/2024-03", "12345678901234567890", "a/b/c/d/e/f/g/h/i/j/k", "getUserAccountSettingsByIdentifier"):
+        assert not secret_scan.random_spans(name, encoding), name
+
+
 def test_bpe_matches_tiktoken(docs, odd, none):
     own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
     for df in (docs, odd):

@@ -26,7 +26,6 @@ WORDS = ("passw", "secret", "token", "api")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12})\Z")
 #: Characters per token under which a run counts as random.
 RATIO = 2.2
-DIGITS = 3
 
 Span = tuple[int, int, str]
 
@@ -50,23 +49,30 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
-def is_identifier(run: str) -> bool:
-    """Names and numbers, by their form: few digits, one letter case with words joined by _ - or /, or no letters."""
-    digits = sum(c.isdigit() for c in run)
-    if digits < DIGITS or digits == len(run):
+def _wordy(parts: list[str], encoding: tiktoken.Encoding, ratio: float) -> bool:
+    """Whether letters of one case (or capitalized) have together the ratio of words; numbers and single letters don't count."""
+    if not all(re.fullmatch(r"(?:[A-Za-z]?[a-z]*|[A-Z]+|\d{1,8})", p) for p in parts):
+        return False
+    words = [p for p in parts if len(p) > 1 and not p[0].isdigit()]
+    return sum(map(len, words)) >= ratio * sum(len(encoding.encode_ordinary(p)) for p in words)
+
+
+def is_identifier(run: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> bool:
+    """Numbers, and words of a high ratio of their own that _ - or / join, by their form."""
+    if run.isdigit():
         return True
     parts = re.split(r"[_/=+-]+", run)
-    return len(parts) > 1 and all(re.fullmatch(r"(?:[A-Za-z]?[a-z]*|[A-Z]+|\d{1,8})", p) for p in parts)
+    return len(parts) > 1 and _wordy(parts, encoding, ratio)
+
+
+def is_random(run: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> bool:
+    """Fewer characters per token than ``ratio``, and neither a known digest nor an identifier."""
+    return len(run) < ratio * len(encoding.encode_ordinary(run)) and not DIGEST.match(run) and not is_identifier(run, encoding, ratio)
 
 
 def random_spans(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> list[Span]:
-    """Runs with fewer characters per token than ``ratio`` that are neither known digests nor identifiers."""
-    found = []
-    for m in RUN.finditer(text):
-        run = m[0]
-        if not is_identifier(run) and not DIGEST.match(run) and len(run) < ratio * len(encoding.encode_ordinary(run)):
-            found.append((m.start(), m.end(), "random"))
-    return found
+    """Random runs of a text."""
+    return [(m.start(), m.end(), "random") for m in RUN.finditer(text) if is_random(m[0], encoding, ratio)]
 
 
 def scan_text(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> tuple[list[Span], list[Span]]:
