@@ -171,6 +171,18 @@ def test_secret_keys_with_few_digits():
         assert not secret_scan.random_spans(name, encoding), name
 
 
+def test_secret_parts_beside_fixed_patterns(spark):
+    encoding, rng = secret_scan._encoding(PATH, PATTERN), random.Random(4)
+    key = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    texts = [f"AKIA{'Q7' * 8}/{key(24)}" for _ in range(50)] + [f"Z{'0a' * 12}X{key(n)}" for n in range(8)] + ["sk_live_" + "0a1b2c" * 4 + "XyZ12"]
+    for t in texts:
+        assert {i for a, b, _ in secret_scan.scan_text(t, encoding)[1] for i in range(a, b)} == set(range(len(t))), t
+    clean = [r[0] for r in secret_scan.redact(spark.createDataFrame([(t,) for t in texts], "text string"), PATH, PATTERN).collect()]
+    assert not any(c.replace("<access>", "").replace("<hex>", "").replace("<random>", "") for c in clean)
+    for t, kinds in (("build/" + hashlib.sha1(b"").hexdigest() + "/file", ["hex"]), ("sha256-" + hashlib.sha256(b"").hexdigest(), ["hex"]), ("my_token=Zx9Qw3Lk8Vb2Nm7Pt4Rs6Yd1", ["assign"])):
+        assert [k for _, _, k in secret_scan.scan_text(t, encoding)[1]] == kinds
+
+
 def test_bpe_matches_tiktoken(docs, odd, none):
     own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
     for df in (docs, odd):

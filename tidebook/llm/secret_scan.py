@@ -26,6 +26,8 @@ WORDS = ("passw", "secret", "token", "api")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12})\Z")
 #: Characters per token under which a run counts as random.
 RATIO = 2.2
+SEPARATORS = "_/=+-"
+DIGEST_NAME = re.compile(r"(?:sha|md)\d{1,3}", re.I)
 
 Span = tuple[int, int, str]
 
@@ -70,16 +72,44 @@ def is_random(run: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> bo
     return len(run) < ratio * len(encoding.encode_ordinary(run)) and not DIGEST.match(run) and not is_identifier(run, encoding, ratio)
 
 
-def random_spans(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> list[Span]:
-    """Random runs of a text."""
-    return [(m.start(), m.end(), "random") for m in RUN.finditer(text) if is_random(m[0], encoding, ratio)]
+def random_spans(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO, base: list[Span] | tuple = ()) -> list[Span]:
+    """Random runs; of those that ``base`` spans cover in part, what these leave over."""
+    found = []
+    for m in RUN.finditer(text):
+        own = [x for x in base if x[0] < m.end() and m.start() < x[1]]
+        if own:
+            found += _left_over(text, m, own, encoding, ratio)
+        elif is_random(m[0], encoding, ratio):
+            found.append((m.start(), m.end(), "random"))
+    return found
+
+
+def _left_over(text: str, m: re.Match, own: list[Span], encoding: tiktoken.Encoding, ratio: float) -> list[Span]:
+    """Parts that are random by themselves, and in a random run all that adjoins an access or hex span, save for names
+    and words that a separator sets off.  A name before an assignment is no part of what is assigned."""
+    found, at, whole = [], m.start(), is_random(m[0], encoding, ratio)
+    before = None
+    for a, b, kind in [*own, (m.end(), m.end(), None)]:
+        if at < a:
+            part = text[at:a]
+            joined = before in ("access", "hex") and part[0] not in SEPARATORS or kind in ("access", "hex") and part[-1] not in SEPARATORS
+            near = before in ("access", "hex") or kind in ("access", "hex")
+            if RUN.fullmatch(part) and is_random(part, encoding, ratio) or whole and near and (joined or not is_name(part, encoding, ratio)):
+                found.append((at, a, "random"))
+        if b >= at:
+            at, before = b, kind
+    return found
+
+
+def is_name(part: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> bool:
+    """Only separators, names of digests, and words each of a high ratio."""
+    return all(not p or DIGEST_NAME.fullmatch(p) or p.isalpha() and _wordy([p], encoding, ratio) and len(p) > 1 for p in re.split(r"[_/=+-]+", part))
 
 
 def scan_text(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> tuple[list[Span], list[Span]]:
-    """Base spans, and all spans: those and the random runs that no base span overlaps."""
+    """Base spans, and all spans: those, the random runs that no base span overlaps, and what base spans leave of others."""
     base = base_spans(text)
-    more = [x for x in random_spans(text, encoding, ratio) if not any(a < x[1] and x[0] < b for a, b, _ in base)]
-    return base, sorted(base + more, key=lambda x: (x[0], KINDS.index(x[2])))
+    return base, sorted(base + random_spans(text, encoding, ratio, base), key=lambda x: (x[0], KINDS.index(x[2])))
 
 
 def written(spans: list[Span]) -> str:
