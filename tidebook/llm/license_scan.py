@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,21 @@ CLAIM = r"\n[ \t]*(copyright[ \t]*(\(c\)|©|[0-9<\[])|\(c\)[ \t]|©|all rights r
 NOTICE_MARK = "licen"
 
 
+#: A licence is also known without what follows this: how to apply it.
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+@lru_cache(1)
+def known_texts() -> tuple[tuple[str, str], ...]:
+    """``TEXTS`` and the long licences of ``licenses``, each file named by its licence."""
+    own = []
+    for path in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        terms, mark, _ = text.partition(TERMS_END)
+        own += [(path.stem, text)] + [(path.stem, t) for t in (terms, terms + mark) if mark]
+    return (*TEXTS, *own)
+
+
 def canonical(text: Column) -> Column:
     """Lower case, no claim lines, equal spellings, and each run of other than letters and digits as one blank."""
     t = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), CLAIM, "\n")
@@ -61,19 +79,20 @@ def known(spark: SparkSession, texts: tuple[tuple[str, str], ...]) -> DataFrame:
     return rows.groupBy("known_digest").agg(F.min("license").alias("license"))
 
 
-def scan(df: DataFrame, texts: tuple[tuple[str, str], ...] = TEXTS, notices: tuple[tuple[str, str], ...] = NOTICES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def scan(df: DataFrame, texts: tuple[tuple[str, str], ...] | None = None, notices: tuple[tuple[str, str], ...] = NOTICES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per input row ``doc_id, digest, license, notices``.
 
     ``digest`` is that of the whole canonical text; ``license`` the licence that the text is, whole, or null;
     ``notices`` the licences of which a line is a known notice, in order, comma-joined, empty if none.
+    ``texts`` are the known licences, ``known_texts()`` if none are given.
     The known side is a literal list, so it is broadcast and documents are not shuffled.
     Null and empty texts have the digest of the empty text and no licence; repeated rows each give a row.
     """
     spark = df.sparkSession
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    lines = F.filter(F.split(F.lower("text"), "\n"), lambda x: F.contains(x, F.lit(NOTICE_MARK)) & (F.length(x) <= 4 * max(len(t) for _, t in notices)))
+    lines = F.filter(F.split(F.lower("text"), "\n"), lambda x: F.contains(x, F.lit(NOTICE_MARK)))
     rows = rows.select("doc_id", digest(F.col("text")).alias("digest"), F.array_distinct(F.transform(lines, digest)).alias("line_digests"))
-    rows = rows.join(F.broadcast(known(spark, texts)), F.col("digest") == F.col("known_digest"), "left")
+    rows = rows.join(F.broadcast(known(spark, known_texts() if texts is None else texts)), F.col("digest") == F.col("known_digest"), "left")
     by_line = F.array(*[F.struct(digest(F.lit(t)).alias("digest"), F.lit(n).alias("license")) for n, t in notices])
     found = F.transform("line_digests", lambda d: F.get(F.filter(by_line, lambda x: x["digest"] == d), F.lit(0))["license"])
     found = F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))
