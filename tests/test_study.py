@@ -1,10 +1,11 @@
 """Folds from moments against least squares on the rows themselves."""
 
+import duckdb
 import numpy as np
 import pytest
 
-from tidebook import catalog_research
-from tidebook.operators import study
+from tidebook import catalog, catalog_research
+from tidebook.operators import research, study
 
 DATA = "/root/testdata/sf0.001"
 
@@ -49,3 +50,25 @@ def test_queries_run(spark, name):
     assert rows
     if name == "simulated_runs":
         assert all(r["leaks"] == 0 and r["controls_held"] for r in rows) and any(r["submitted"] for r in rows)
+
+
+def test_clean_labels_leave_out_gaps_and_embargo(spark):
+    bad, missing = {7}, {30}
+    rows = [("v", "s", t, None if t in missing else 100 + t * t, int(t in bad)) for t in range(60)]
+    p = spark.createDataFrame(rows, "venue string, symbol string, t long, mid long, suspect_msgs long")
+    split = lambda t: "train" if t < 20 else "validation" if 24 <= t < 40 else "test" if t >= 44 else None
+    want = {(t, split(t), (t + 3) ** 2 - t * t) for t in range(57) if split(t) and split(t) == split(t + 3) and not (bad | missing) & set(range(t, t + 4))}
+    assert {(r["t"], r["split"], r["label"]) for r in research.clean_labels(p, 3, (20, 40), 4).collect()} == want
+    kept = {r["t"] for r in research.labels(p, 3, (20, 40)).collect()}
+    assert {t for t, _, _ in want} < kept and {5, 6, 29} <= kept
+
+
+@pytest.mark.parametrize("name", ["labels_split", "labels_clean", "baseline_mae_clean", "score_calibration_clean"])
+def test_labels_match_duckdb(spark, name):
+    con = duckdb.connect()
+    con.execute("create view events as select * from '/root/testdata/sf0.01/events.parquet'")
+    want = con.execute(catalog.oracle_sql()[name])
+    order = [d[0] for d in want.description]
+    rows = [tuple(r) for r in catalog.queries()[name](spark, "/root/testdata/sf0.01").select(order).collect()]
+    assert rows and sorted(map(str, rows)) == sorted(map(str, want.fetchall()))
+    print(name, len(rows))

@@ -346,6 +346,35 @@ def score_calibration(spark, sf_dir):
     return research.calibration(research.labels(panel(spark, sf_dir), 3, CUTS))
 
 
+#: No less than the horizon of the labels.
+EMBARGO = 3 * HOUR
+
+
+def _apart(t: str) -> str:
+    return f"CASE WHEN {t} < {CUTS[0]} THEN 'train' WHEN {t} >= {CUTS[0] + EMBARGO} AND {t} < {CUTS[1]} THEN 'validation' WHEN {t} >= {CUTS[1] + EMBARGO} THEN 'test' END"
+
+
+_CLEAN = _PANEL + f""", lb AS (SELECT venue, symbol, t, {_apart("t")} AS split, lead(mid, 3) {_WIN} - mid AS label, {_apart(f"lead(t, 3) {_WIN}")} AS es, mid - lag(mid, 3) {_WIN} AS previous,
+  count(*) FILTER (suspect_msgs = 0 AND mid IS NOT NULL) OVER (PARTITION BY venue, symbol ORDER BY t ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) = 4 AS usable FROM p),
+lab AS (SELECT * EXCLUDE (es, usable) FROM lb WHERE usable AND label IS NOT NULL AND split = es)"""
+
+
+@query(_CLEAN + " SELECT * FROM lab")
+def labels_clean(spark, sf_dir):
+    return research.clean_labels(panel(spark, sf_dir), 3, CUTS, EMBARGO)
+
+
+@query(_CLEAN + " SELECT split, count(*) AS n, CAST(sum(abs(label)) AS BIGINT) AS zero_error, CAST(sum(abs(label - previous)) AS BIGINT) AS previous_error FROM lab WHERE previous IS NOT NULL GROUP BY ALL")
+def baseline_mae_clean(spark, sf_dir):
+    return research.baseline_error(research.clean_labels(panel(spark, sf_dir), 3, CUTS, EMBARGO))
+
+
+@query(_CLEAN + """, s AS (SELECT split, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy FROM (SELECT split, previous / 1e6 AS x, label / 1e6 AS y FROM lab WHERE previous IS NOT NULL) GROUP BY ALL)
+SELECT split, n, round(1 - (syy - 2 * sxy + sxx) / syy, 6) AS r2, round((n * sxy - sx * sy) / (n * sxx - sx * sx), 6) AS slope FROM s""")
+def score_calibration_clean(spark, sf_dir):
+    return research.calibration(research.clean_labels(panel(spark, sf_dir), 3, CUTS, EMBARGO))
+
+
 @query(_PANEL + f""", f AS (SELECT venue, symbol, t, round((lead(ln(mid::DOUBLE), 1) {_WIN} - ln(mid::DOUBLE)) * 10000, 6) AS v FROM p), d AS (SELECT *, v - avg(v) OVER (PARTITION BY venue, symbol) AS d FROM f WHERE v IS NOT NULL),
 g AS (SELECT *, d * lag(d, 1) {_WIN} AS g1, d * lag(d, 2) {_WIN} AS g2, d * lag(d, 3) {_WIN} AS g3 FROM d)
 SELECT venue, symbol, count(*) AS n, round(avg(v) / sqrt((sum(d * d) + 1.5 * sum(g1) + 1.0 * sum(g2) + 0.5 * sum(g3)) / count(*) / count(*)), 6) + 0.0 AS t FROM g GROUP BY ALL""")

@@ -63,11 +63,23 @@ def rolling_mean(p: DataFrame, n: int) -> DataFrame:
 
 
 def labels(p: DataFrame, horizon: int, cuts: tuple[int, int]) -> DataFrame:
-    """Forward moves with their split; a label whose horizon leaves its split is dropped."""
+    """Forward moves with their split; a label whose horizon leaves its split is dropped.
+
+    Bad rows between and an embargo play no part; ``clean_labels`` has both."""
+    return _labelled(p, horizon, cuts, 0).where("label is not null and split = end_split").drop("end_split", "usable")
+
+
+def clean_labels(p: DataFrame, horizon: int, cuts: tuple[int, int], embargo: int) -> DataFrame:
+    """``labels`` of which all rows from the instant to its horizon are clean, and both ends outside the ``embargo``
+    nanoseconds after each cut."""
+    return _labelled(p, horizon, cuts, embargo).where("usable and label is not null and split = end_split").drop("end_split", "usable")
+
+
+def _labelled(p: DataFrame, horizon: int, cuts: tuple[int, int], embargo: int) -> DataFrame:
     w = series()
-    split = lambda t: F.when(t < cuts[0], "train").when(t < cuts[1], "validation").otherwise("test")
-    rows = p.select(*ROW, split(F.col("t")).alias("split"), (F.lead("mid", horizon).over(w) - F.col("mid")).alias("label"), split(F.lead("t", horizon).over(w)).alias("end_split"), (F.col("mid") - F.lag("mid", horizon).over(w)).alias("previous"))
-    return rows.where("label is not null and split = end_split").drop("end_split")
+    split = lambda t: F.when(t < cuts[0], "train").when((t >= cuts[0] + embargo) & (t < cuts[1]), "validation").when(t >= cuts[1] + embargo, "test")
+    clean = F.count_if((F.col("suspect_msgs") == 0) & F.col("mid").isNotNull()).over(w.rowsBetween(0, horizon)) == horizon + 1
+    return p.select(*ROW, split(F.col("t")).alias("split"), (F.lead("mid", horizon).over(w) - F.col("mid")).alias("label"), split(F.lead("t", horizon).over(w)).alias("end_split"), (F.col("mid") - F.lag("mid", horizon).over(w)).alias("previous"), clean.alias("usable"))
 
 
 def baseline_error(labelled: DataFrame) -> DataFrame:
