@@ -146,6 +146,10 @@ def test_licenses(spark, odd, none):
     got = {r["doc_id"]: (r["license"], r["notices"]) for r in license_scan.scan(df).collect()}
     assert got == {1: (None, ""), 2: ("MIT", ""), 3: (None, "MIT"), 4: (None, ""), 5: (None, "")}
     assert license_scan.scan(odd).count() == len(ROWS) and license_scan.scan(none).count() == 0
+    own = license_scan.license_table(spark, (("Own", LONG),), (("House", "Use as you like."),))  # a notice without the mark: all lines are digested
+    assert sorted(str((r["doc_id"], r["license"])) for r in license_scan.scan(odd, own).collect() if r["license"]) == ["(4, 'Own')", "(5, 'Own')"]
+    lines = spark.createDataFrame([(1, "x\nuse as YOU like"), (1, "x"), (None, "Use as you like."), (None, "Use as you like.")], "doc_id long, text string").withColumn("found", F.lit(0)).withColumn("line", F.lit(""))
+    assert sorted(str(tuple(r)) for r in license_scan.scan(lines, own).select("doc_id", "notices").collect()) == ["(1, '')", "(1, 'House')", "(None, 'House')", "(None, 'House')"]
 
 
 def test_long_licenses_and_padded_notices(spark):

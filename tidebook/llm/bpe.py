@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from .common import Rows, sha256_hex, small_batches
+from .common import Rows, sha256_hex, sliced
 
 #: Most split pieces that a worker remembers.
 MEMO = 200_000
@@ -140,12 +140,11 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_
 
     A null text is empty and gives empty lists; repeated rows each give a row; other columns play no part.
     """
-    small_batches(df)
     spec = tokenizer_json(read_ranks(ranks_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         codec = Codec.get(spec, pattern)
-        for b in batches:
+        for b in sliced(batches, 1000):
             rows = [codec.with_offsets(t) for part in _texts(b.column(1)) for t in part]
             own = [pa.array([r[k] for r in rows], pa.list_(pa.int32())) for k in range(3)]
             yield pa.RecordBatch.from_arrays([b.column(0), *own], ["row_id", "ids", "char_begin", "char_end"])
@@ -156,12 +155,11 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", id_col: str = "row_id") -> DataFrame:
     """``row_id``, the decoded ``bytes``, and ``text`` with what is no UTF-8 replaced; null ids decode as none."""
-    small_batches(df)
     spec = tokenizer_json(read_ranks(ranks_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         codec = Codec.get(spec, "")
-        for b in batches:
+        for b in sliced(batches, 1000):
             raw = [codec.decode(x or []) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()), pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())], ["row_id", "bytes", "text"])
 
@@ -175,12 +173,11 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     The ids never leave the worker, so the shuffle-free job moves texts in and digests out.
     Null texts are empty: no tokens, and the digests of no bytes.
     """
-    small_batches(df)
     spec = tokenizer_json(read_ranks(ranks_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         codec = Codec.get(spec, pattern)
-        for b in batches:
+        for b in sliced(batches, 1000):
             n, own, back = [], [], []
             for part in _texts(b.column(1)):
                 for packed in codec.packed(part):

@@ -25,21 +25,21 @@ def word_bytes(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """Lowers the session's Arrow batches to ``rows`` rows, so that long texts cost a worker little memory at once."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(df.sparkSession.conf.get(name, "10000"))
-    if now <= 0 or now > rows:
-        df.sparkSession.conf.set(name, str(rows))
-    return df
+def sha256_hex(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
 
 
 def sliced(batches: Iterable[pa.RecordBatch], step: int = 500) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that little of a batch is ever held as Python objects."""
+    """The same rows in smaller batches, so that little of a batch is ever held as Python objects.  Spark itself bounds a
+    batch by bytes (spark.sql.execution.arrow.maxBytesPerBatch)."""
     for b in batches:
         for at in range(0, b.num_rows, step):
             yield b.slice(at, step)

@@ -22,12 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.durable import materialize
-from .common import Rows, small_batches
+from .common import Rows, sliced
 
 ORDER = 5
 BROADCAST_GRAMS = 4_000_000
 #: A word that makes up more than this part of all training tokens is broadcast: there can be no more such words.
 HEAVY = 1 << 20
+#: Context bytes that grams are dealt by.
+TOP = 3
 #: Grams that one task builds its part of the trees from, about.
 TASK_GRAMS = 400_000
 END = 0xFF
@@ -80,7 +82,10 @@ def _mask(bytes_: int) -> np.uint64:
 
 
 class Level:
-    """The nodes of one depth, by rising key, with estimate of a one, log estimate and log weighted probability."""
+    """The nodes of one depth, by rising key, with estimate of a one, log estimate and log weighted probability.
+
+    A node's weighted probability is half its estimate and half the product of its children's; a child that holds no
+    counts has probability one, and its estimate of the next decision is one half."""
 
     def __init__(self, key: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: tuple[np.ndarray, np.ndarray] | None):
         self.key, self.one, self.log_e = key, (n1 + 0.5) / (n0 + n1 + 1), log_kt(n0, n1)
@@ -94,7 +99,7 @@ class Level:
     def enter(self, acc: np.ndarray, rem: np.ndarray) -> None:
         """Takes what the shallower nodes have mixed so far and the weight they left over."""
         self.acc, self.rem = acc + rem * self.keep * self.one, rem * (1 - self.keep)
-        self.final = self.acc + self.rem * self.one
+        self.final = self.acc + self.rem / 2
 
 
 def levels(code: np.ndarray, count: np.ndarray, deepest: int, top: int) -> list[Level]:
@@ -118,9 +123,10 @@ def descend(found: list[Level], top: int, acc: np.ndarray, rem: np.ndarray) -> N
 
 
 def log_probability(code: np.ndarray, above: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """log10 of each gram's last byte given the rest: at every decision by the deepest context that training met.
+    """log10 of each gram's last byte given the rest, by the mixture over all depths.
 
-    ``above``: for each depth from 0 the node keys and the mixtures that end there.
+    ``above``: for each depth from 0 the node keys and the mixture of a path whose next node training never met: that
+    node and all below it hold no counts, so what weight is left over for them says one half.
     """
     u = np.uint64
     total = np.zeros(len(code))
@@ -142,11 +148,6 @@ def _lowered(texts: list[str | None]) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
 
 
-def _parts(b: pa.RecordBatch, step: int = 200) -> Iterable[pa.RecordBatch]:
-    for at in range(0, b.num_rows, step):
-        yield b.slice(at, step)
-
-
 def count_grams(rows: DataFrame, order: int) -> DataFrame:
     """``gram, n``: each gram of any text with its count in training texts, summed within tasks and then by key."""
 
@@ -158,18 +159,17 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
             k, c = _sum_by(k, c)
             return k, c.astype(np.int64)
 
-        for b in batches:
-            for part in _parts(b):
-                code, owner = grams(_lowered(part.column(1).to_pylist()), order)
-                train = ~np.asarray(part.column(2).to_pylist(), bool)
-                order_ = np.sort((code << np.uint64(1)) | train[owner].astype(np.uint64))
-                cut = np.flatnonzero(np.concatenate(([True], order_[1:] != order_[:-1]))) if len(order_) else np.zeros(0, np.int64)
-                found, times = order_[cut], np.diff(np.append(cut, len(order_)))
-                new.append((found >> np.uint64(1), times * (found & np.uint64(1)).astype(np.int64)))
-                size += len(found)
-                if size > max(500_000, len(key)):
-                    key, n = fold()
-                    new, size = [], 0
+        for part in sliced(batches, 200):
+            code, owner = grams(_lowered(part.column(1).to_pylist()), order)
+            train = ~np.asarray(part.column(2).to_pylist(), bool)
+            order_ = np.sort((code << np.uint64(1)) | train[owner].astype(np.uint64))
+            cut = np.flatnonzero(np.concatenate(([True], order_[1:] != order_[:-1]))) if len(order_) else np.zeros(0, np.int64)
+            found, times = order_[cut], np.diff(np.append(cut, len(order_)))
+            new.append((found >> np.uint64(1), times * (found & np.uint64(1)).astype(np.int64)))
+            size += len(found)
+            if size > max(500_000, len(key)):
+                key, n = fold()
+                new, size = [], 0
         key, n = fold()
         for at in range(0, len(key), 200_000):
             yield pa.RecordBatch.from_arrays([pa.array(key[at : at + 200_000].view(np.int64)), pa.array(n[at : at + 200_000])], ["gram", "n"])
@@ -180,10 +180,11 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
 def gram_table(counts: DataFrame, order: int) -> DataFrame:
     """``gram, log10_p`` for every gram in ``counts``.
 
-    Trees below two context bytes are whole in the partition of those bytes; what lies above is at most 2^16 nodes, made
-    on the driver from the sums that the partitions send up.
+    Trees below three context bytes are whole in the partition of those bytes; what lies above are the nodes of two, one
+    and no context bytes, at most 2^24 and in prose some hundred thousand, made on the driver from the sums that the
+    partitions send up.
     """
-    top = min(2, order)
+    top = min(TOP, order)
     spark = counts.sparkSession
     parts = max(1, math.ceil(counts.count() / TASK_GRAMS))
     dealt = counts.repartition(parts, F.expr(f"(gram >> 8) & {(1 << (8 * top)) - 1}"))
@@ -279,14 +280,13 @@ def count_words(rows: DataFrame) -> DataFrame:
                 part = keys[at : at + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([total[w] for w in part], pa.int64())], ["word", "n"])
 
-        for b in batches:
-            for part in _parts(b):
-                for t, held in zip(part.column(1), part.column(2), strict=True):
-                    if not held.as_py():
-                        total.update((t.as_py() or "").encode("utf-8", "surrogatepass").lower().split())
-                if len(total) > 300_000:
-                    yield from flush()
-                    total.clear()
+        for part in sliced(batches, 200):
+            for t, held in zip(part.column(1), part.column(2), strict=True):
+                if not held.as_py():
+                    total.update((t.as_py() or "").encode("utf-8", "surrogatepass").lower().split())
+            if len(total) > 300_000:
+                yield from flush()
+                total.clear()
         yield from flush()
 
     return rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -302,32 +302,31 @@ def _pass(rows: DataFrame, heavy: dict[bytes, int], table: Table | None, order:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         logs, probabilities = shared.value
-        for b in batches:
-            for part in _parts(b):
-                texts = _lowered(part.column(1).to_pylist())
-                code, owner = grams(texts, order)
-                size, known, sums, light, light_n, own_grams, own_n = [], [], [], [], [], [], []
-                if probabilities is not None:
-                    score = np.bincount(owner, probabilities[code], len(texts))
-                else:
-                    score = np.zeros(len(texts))
-                    for x in np.split(code, np.cumsum([len(t) + 1 for t in texts])[:-1]):
-                        k, n = np.unique(x, return_counts=True)
-                        own_grams.append(k.view(np.int64).tolist())
-                        own_n.append(n.tolist())
-                for t in texts:
-                    words = t.split()
-                    rare = Counter([w for w in words if w not in logs])
-                    size.append(len(words) + 1)
-                    known.append(len(words) - rare.total())
-                    sums.append(math.fsum([logs[w] for w in words if w in logs]))
-                    light.append(list(rare))
-                    light_n.append(list(rare.values()))
-                none = [None] * len(texts) if not own_grams else own_grams
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array([len(t) + 1 for t in texts], pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(score, pa.float64()),
-                    pa.array(light, pa.list_(pa.binary())), pa.array(light_n, pa.list_(pa.int32())), pa.array(none, pa.list_(pa.int64())), pa.array(own_n or none, pa.list_(pa.int32())),
-                ], [x.split()[0] for x in _PASS.split(", ")])
+        for part in sliced(batches, 200):
+            texts = _lowered(part.column(1).to_pylist())
+            code, owner = grams(texts, order)
+            size, known, sums, light, light_n, own_grams, own_n = [], [], [], [], [], [], []
+            if probabilities is not None:
+                score = np.bincount(owner, probabilities[code], len(texts))
+            else:
+                score = np.zeros(len(texts))
+                for x in np.split(code, np.cumsum([len(t) + 1 for t in texts])[:-1]):
+                    k, n = np.unique(x, return_counts=True)
+                    own_grams.append(k.view(np.int64).tolist())
+                    own_n.append(n.tolist())
+            for t in texts:
+                words = t.split()
+                rare = Counter([w for w in words if w not in logs])
+                size.append(len(words) + 1)
+                known.append(len(words) - rare.total())
+                sums.append(math.fsum([logs[w] for w in words if w in logs]))
+                light.append(list(rare))
+                light_n.append(list(rare.values()))
+            none = [None] * len(texts) if not own_grams else own_grams
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array([len(t) + 1 for t in texts], pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(score, pa.float64()),
+                pa.array(light, pa.list_(pa.binary())), pa.array(light_n, pa.list_(pa.int32())), pa.array(none, pa.list_(pa.int64())), pa.array(own_n or none, pa.list_(pa.int32())),
+            ], [x.split()[0] for x in _PASS.split(", ")])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, _PASS.format(kind=kind)).withColumn("rid", F.monotonically_increasing_id())
@@ -349,7 +348,6 @@ def score(df: DataFrame, held_out: Column, order: int = ORDER, broadcast_grams:
     if not 2 <= order <= 6:
         raise ValueError("order must be 2 to 6: a gram and a mark fit in 64 bits")
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    small_batches(df)
     words = materialize(count_words(rows), "words")
     told = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     texts = rows.where("not held_out").count()

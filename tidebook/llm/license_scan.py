@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.durable import materialize
+
 # Whole texts of short licences, and one-line notices, as their stewards publish them.
 _PERMIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"
 _WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
@@ -41,7 +43,7 @@ NOTICES = (
 EQUIVALENT = (("licence", "license"), ("sub-license", "sublicense"), ("organisation", "organization"), ("favour", "favor"), ("acknowledgement", "acknowledgment"), ("http://", "https://"), ("&", " and "))
 #: A line that only says who holds the copyright, or that all rights are reserved.
 CLAIM = r"\n[ \t]*(copyright[ \t]*(\(c\)|©|[0-9<\[])|\(c\)[ \t]|©|all rights reserved\.?[ \t]*(\n|$))[^\n]*"
-#: Every notice holds this once its spelling is canonical; lines without it need no digest.
+#: Where every known notice holds this, lines without it need no digest; else all lines get one.
 NOTICE_MARK = "licen"
 
 
@@ -72,31 +74,45 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known(spark: SparkSession, texts: tuple[tuple[str, str], ...]) -> DataFrame:
-    """``license, known_digest``, one row per distinct digest; as long as the literal list given."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in texts])
-    rows = spark.range(1).select(F.explode(pairs).alias("x")).select(F.col("x.license").alias("license"), digest(F.col("x.text")).alias("known_digest"))
-    return rows.groupBy("known_digest").agg(F.min("license").alias("license"))
+def license_table(spark: SparkSession, texts: tuple[tuple[str, str], ...] | None = None, notices: tuple[tuple[str, str], ...] = NOTICES) -> DataFrame:
+    """``license, text, whole``: the known licences as a table; ``whole`` is true for full texts, false for one-line notices.
+
+    ``texts`` are ``known_texts()`` if none are given."""
+    rows = [(n, t, True) for n, t in (known_texts() if texts is None else texts)] + [(n, t, False) for n, t in notices]
+    return spark.createDataFrame(rows, "license string, text string, whole boolean")
+
+
+def known(licenses: DataFrame) -> DataFrame:
+    """``known_digest, known_whole, known_license``: a row per distinct digest, the first licence by name if several share it."""
+    rows = licenses.where("text is not null and license is not null").select("license", digest(F.col("text")).alias("known_digest"), F.coalesce("whole", F.lit(True)).alias("known_whole"))
+    return rows.groupBy("known_digest", "known_whole").agg(F.min("license").alias("known_license"))
 
 
-def scan(df: DataFrame, texts: tuple[tuple[str, str], ...] | None = None, notices: tuple[tuple[str, str], ...] = NOTICES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def scan(df: DataFrame, licenses: DataFrame | None = None, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per input row ``doc_id, digest, license, notices``.
 
     ``digest`` is that of the whole canonical text; ``license`` the licence that the text is, whole, or null;
     ``notices`` the licences of which a line is a known notice, in order, comma-joined, empty if none.
-    ``texts`` are the known licences, ``known_texts()`` if none are given.
-    The known side is a literal list, so it is broadcast and documents are not shuffled.
-    Null and empty texts have the digest of the empty text and no licence; repeated rows each give a row.
+    ``licenses`` is a table as :func:`license_table` gives, of any size: it is written once, and both digests of whole
+    texts and digests of lines are hash-joined to it.  A text is known again by its id and hash when its lines' finds
+    come back; only texts with a find have a row there.
+    Null and empty texts have the digest of the empty text and no licence; repeated rows each give a row; null ids are
+    ids; an empty table gives none; very long lines are digested whole; other columns play no part.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    lines = F.filter(F.split(F.lower("text"), "\n"), lambda x: F.contains(x, F.lit(NOTICE_MARK)))
-    rows = rows.select("doc_id", digest(F.col("text")).alias("digest"), F.array_distinct(F.transform(lines, digest)).alias("line_digests"))
-    rows = rows.join(F.broadcast(known(spark, known_texts() if texts is None else texts)), F.col("digest") == F.col("known_digest"), "left")
-    by_line = F.array(*[F.struct(digest(F.lit(t)).alias("digest"), F.lit(n).alias("license")) for n, t in notices])
-    found = F.transform("line_digests", lambda d: F.get(F.filter(by_line, lambda x: x["digest"] == d), F.lit(0))["license"])
-    found = F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))
-    return rows.select("doc_id", "digest", "license", F.array_join(found, ",").alias("notices"))
+    table = materialize(known(license_table(spark) if licenses is None else licenses), "licenses")
+    marked = not (license_table(spark) if licenses is None else licenses).where(~F.col("whole") & ~F.contains(canonical(F.col("text")), F.lit(NOTICE_MARK))).limit(1).count()
+    rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("form", F.xxhash64("text"))
+    lines = F.split("text", "\n")
+    if marked:
+        lines = F.filter(lines, lambda x: F.contains(F.lower(x), F.lit(NOTICE_MARK)))
+    said = rows.select("doc_id", "form", F.explode(F.array_distinct(lines)).alias("line")).withColumn("line_digest", digest(F.col("line")))
+    found = said.join(table.where("not known_whole"), F.col("line_digest") == F.col("known_digest")).groupBy(F.col("doc_id").alias("found_id"), F.col("form").alias("found_form"))
+    found = found.agg(F.array_join(F.array_sort(F.collect_set("known_license")), ",").alias("found"))
+    whole = table.where("known_whole")
+    out = rows.select("doc_id", "form", digest(F.col("text")).alias("digest")).join(whole, F.col("digest") == F.col("known_digest"), "left")
+    out = out.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("form") == F.col("found_form")), "left")
+    return out.select("doc_id", "digest", F.col("known_license").alias("license"), F.coalesce("found", F.lit("")).alias("notices"))
 
 
 def _sql(value: str) -> str:
@@ -113,7 +129,7 @@ def _canonical_sql(t: str) -> str:
 def oracle() -> str:
     values = lambda pairs: ", ".join(f"({_sql(n)}, {_sql(t)})" for n, t in pairs)
     return f"""
-WITH t AS (SELECT {_canonical_sql("x")} AS d, min(n) AS license FROM (VALUES {values(TEXTS)}) v(n, x) GROUP BY 1),
+WITH t AS (SELECT {_canonical_sql("x")} AS d, min(n) AS license FROM (VALUES {values(known_texts())}) v(n, x) GROUP BY 1),
 n AS (SELECT {_canonical_sql("x")} AS d, min(n) AS license FROM (VALUES {values(NOTICES)}) v(n, x) GROUP BY 1),
 r AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT row_id, unnest(string_split(text, chr(10))) AS line FROM r),

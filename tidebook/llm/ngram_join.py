@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.durable import materialize
-from .common import Rows, small_batches, word_bytes
+from .common import Rows, free_name, sliced, word_bytes
 from .components import components
 
 #: Shingle frequencies are counted in about as many buckets as there are shingles, 2^28 at most: half a byte each, they
@@ -59,11 +59,6 @@ def needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
-def _blocks(b: pa.RecordBatch, column: int) -> Iterable[str | None]:
-    for at in range(0, b.num_rows, 500):
-        yield from b.column(column).slice(at, 500).to_pylist()
-
-
 def sketch_bits(texts: DataFrame, most: int = MOST_BITS) -> int:
     """log2 of the buckets for these texts, at a shingle to eight characters."""
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -88,8 +83,8 @@ def frequencies(texts: DataFrame, words: int, bits: int) -> np.ndarray:
             at = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
             return k[at], np.add.reduceat(c, at) if len(at) else c
 
-        for b in batches:
-            for t in _blocks(b, 0):
+        for b in sliced(batches):
+            for t in b.column(0).to_pylist():
                 new.append((shingles(t, words) >> np.uint64(64 - bits)).astype(np.uint32))
                 size += len(new[-1])
                 if size > 1_500_000:
@@ -130,9 +125,9 @@ def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast, bits:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         count = often.value
-        for b in batches:
+        for b in sliced(batches):
             n, keys, rare, common = [], [], [], []
-            for t in _blocks(b, 1):
+            for t in b.column(1).to_pylist():
                 s = shingles(t, words)
                 n.append(len(s))
                 keys.append(hashlib.md5(s.tobytes()).digest())
@@ -158,8 +153,8 @@ def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -
     near = texts.join(F.broadcast(named) if small else named, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
-        for b in batches:
-            items = [shingles(t, words).tobytes() for t in _blocks(b, 0)]
+        for b in sliced(batches):
+            items = [shingles(t, words).tobytes() for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(x).digest() for x in items], pa.binary()), pa.array(items, pa.binary())], ["set_key", "items"])
 
     made = near.select("text").mapInArrow(run, "set_key binary, items binary")
@@ -201,7 +196,6 @@ def join_classes(texts: DataFrame, words: int, percent: int, most_bits: int = MO
     the shingles common to both prefixes and all that follows the shorter of them can reach the overlap: a common
     shingle no later than the end of either prefix is in both, so the rest of one set bounds what is still to come.
     """
-    small_batches(texts)
     bits = sketch_bits(texts, most_bits)
     often = texts.sparkSession.sparkContext.broadcast(frequencies(texts, words, bits))
     rows = materialize(prefixes(texts, words, percent, often, bits), "prefixes")
@@ -264,17 +258,24 @@ def label(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
 
 
 def keep_one(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` without those that have a row of a smaller id in their component; of rows that repeat both
-    id and component one stays, and rows without shingles or without an id all stay."""
-    named = label(df, words, percent, text, id_col)
-    gone = _sized(named.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    left = df.join(gone, F.col(f"`{id_col}`") == F.col("gone_id"), "left_anti")
-    again = materialize(named.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id")), "again")
-    if not again.limit(1).count():
-        return left
-    again = _sized(again, "again")
-    once = left.join(again, F.col(f"`{id_col}`") == F.col("again_id"), "left_semi").dropDuplicates([id_col])
-    return left.join(again, F.col(f"`{id_col}`") == F.col("again_id"), "left_anti").unionByName(once)
+    """Of each group of linked rows the one of least id stays, null ids last; equal ids are told apart by a hash of the
+    text, and rows that repeat both by a hash of all columns.
+
+    Rows are judged by themselves, never by another row of their id.  Rows without shingles all stay.
+    """
+    key = lambda: F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("form"))
+    named = label(df.select(key().alias("key"), F.col(f"`{text}`").alias("text")), words, percent, "text", "key").where("n_shingles > 0")
+    named = materialize(named.select(F.col("doc_id").alias("key"), F.col("component_id").alias("first")), "named")
+    own = free_name(df, "own_key")
+    marked = df.withColumn(own, key())
+    out = free_name(df, "gone_key")
+    gone = _sized(named.where("key <> first").select(F.col("key").alias(out)).distinct(), "gone")
+    left = marked.join(gone, F.col(own) == F.col(out), "left_anti")
+    again = _sized(named.where("key = first").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias(out)), "again")
+    place = free_name(df, "place")
+    order = Window.partitionBy(own).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    once = left.join(again, F.col(own) == F.col(out), "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    return left.join(again, F.col(own) == F.col(out), "left_anti").unionByName(once).drop(own)
 
 
 def _sized(ids: DataFrame, name: str) -> DataFrame:

@@ -1,23 +1,32 @@
-"""Quality classifier: a weak-label model over heuristic labellers, then a hashed linear scorer on its posteriors."""
+"""Quality classifier: a weak-label model over heuristic labellers, then a hashed linear scorer on its posteriors.
+
+Both are fitted on all texts.  One pass over the texts writes each one's vote pattern and hashed features; the
+patterns, 3^7 at most, give the weak-label model, and the scorer is a logistic regression on its posteriors, whose
+gradients are summed on the executors in every round.
+"""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rows, sliced, small_batches, word_bytes
-from .quality_rules import rule_counts
+from ..plans.durable import materialize
+from .common import Rows, sliced, word_bytes
+from .quality_rules import SPACE, rule_counts
 
-#: Buckets of the hashed scorer; texts it is fitted on, those of least id hash; passes over them.
-BUCKETS, FIT_ROWS, EPOCHS = 1 << 16, 4_000, 8
+#: Buckets of the hashed scorer, rounds of its fit, weight of the squared norm in its loss, and steps it remembers.
+BUCKETS, ROUNDS, RIDGE, MEMORY = 1 << 16, 20, 1e-5, 8
+#: Buckets to a part when gradients are summed.
+_PART = 1 << 11
 GOOD, BAD, SILENT = 1, 0, 2
 LABELLERS = ("symbols", "marked", "upper", "repeat", "variety", "word_length", "lines")
 _CLASS = bytes(ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256))
@@ -101,79 +110,160 @@ def hashed(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.array(at, np.uint64).astype(np.int64) & (BUCKETS - 1), value / max(1, len(words))
 
 
-def fit_scorer(texts: list[str], p: np.ndarray, seed: int = 11) -> np.ndarray:
-    """Weights of a logistic scorer, the intercept last, by adaptive gradient steps on soft labels of equal class weight."""
-    w, g = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-6)
-    if not len(texts):
-        return w
-    rows = [hashed(t) for t in texts]
-    share = np.clip(p.mean(), 0.02, 0.98)
-    weight = p / share + (1 - p) / (1 - share)
-    rng = np.random.default_rng(seed)
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(rows)):
-            at, x = rows[i]
-            at, x = np.append(at, BUCKETS), np.append(x, 1.0)
-            d = weight[i] * (1 / (1 + np.exp(-np.clip(w[at] @ x, -30, 30))) - p[i]) * x
-            np.add.at(g, at, d * d)
-            np.subtract.at(w, at, 0.2 * d / np.sqrt(g[at]))
+def minimise(f: Callable[[np.ndarray], tuple[float, np.ndarray]], w: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Limited-memory quasi-Newton steps; ``f`` gives loss and gradient and is asked ``rounds`` times at most."""
+    loss, g = f(w)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    size, asked = 1.0 / max(1.0, float(np.linalg.norm(g))), 1
+    while asked < rounds and np.abs(g).max(initial=0.0) > 1e-7:
+        d, back = g.copy(), []
+        for x, y in reversed(steps):
+            a = (x @ d) / (x @ y)
+            d -= a * y
+            back.append(a)
+        if steps:
+            x, y = steps[-1]
+            d *= (x @ y) / (y @ y)
+        for (x, y), a in zip(steps, reversed(back), strict=True):
+            d += (a - (y @ d) / (x @ y)) * x
+        new, asked = w - size * d, asked + 1
+        new_loss, new_g = f(new)
+        if new_loss > loss - 1e-4 * size * (g @ d):
+            size /= 4
+            continue
+        if (new - w) @ (new_g - g) > 1e-12:
+            steps = [*steps[1 - MEMORY :], (new - w, new_g - g)]
+        w, loss, g, size = new, new_loss, new_g, 1.0
     return w
 
 
+def gradient(rows: Iterable[tuple[np.ndarray, np.ndarray, float, float]], w: np.ndarray) -> tuple[float, np.ndarray]:
+    """Summed weighted log loss and gradient over (buckets, values, soft label, weight), the intercept last."""
+    loss, g = 0.0, np.zeros(len(w))
+    for at, x, p, weight in rows:
+        z = float(w[at] @ x + w[-1])
+        loss += weight * (np.logaddexp(0.0, z) - p * z)
+        d = weight * (1 / (1 + np.exp(-z)) - p) if z > -500 else -weight * p
+        np.add.at(g, at, d * x)
+        g[-1] += d
+    return loss, g
+
+
 def score(text: str | None, w: np.ndarray) -> float:
     at, x = hashed(text)
-    return float(1 / (1 + np.exp(-np.clip(w[at] @ x + w[-1], -30, 30))))
+    return float(1 / (1 + np.exp(-np.clip(w[at] @ x.astype("<f4").astype(float) + w[-1], -500, 500))))
 
 
-def _text(df: DataFrame, text: str) -> DataFrame:
-    return df.select(F.col(f"`{text}`").alias("text"))
+def prepare(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``doc_id, pattern, n, buckets, amounts`` per row, written: the vote pattern, the words, and hashed features."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Rows:
+        for b in sliced(batches):
+            texts = b.column(1).to_pylist()
+            found = [hashed(t) for t in texts]
+            own = [pa.array([pattern(t) for t in texts], pa.int32()), pa.array([bool(t and t.strip(SPACE)) for t in texts], pa.bool_())]
+            own += [pa.array([at.astype("<u2").tobytes() for at, _ in found], pa.binary()), pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *own], ["doc_id", "pattern", "filled", "buckets", "amounts"])
 
+    kind = df.schema[id_col].dataType.simpleString()
+    rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return materialize(rows.mapInArrow(run, f"doc_id {kind}, pattern int, filled boolean, buckets binary, amounts binary"), "features")
 
-def fit(df: DataFrame, text: str = "text", id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> tuple[WeakLabels, np.ndarray]:
-    """The weak-label model from the vote patterns of all texts, of which there are at most 3^7, and the scorer from
-    the ``fit_rows`` texts whose id hashes least, under their posteriors."""
 
-    def vote(batches: Iterable[pa.RecordBatch]) -> Rows:
-        for b in sliced(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([pattern(t) for t in b.column(0).to_pylist()], pa.int64())], ["pattern"])
+def _flat(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The row, bucket and amount of every feature of a batch of prepared rows."""
+    at = np.frombuffer(b"".join(b.column("buckets").to_pylist()), "<u2").astype(np.int64)
+    x = np.frombuffer(b"".join(b.column("amounts").to_pylist()), "<f4").astype(float)
+    return np.repeat(np.arange(b.num_rows), pc.binary_length(b.column("buckets")).to_numpy(zero_copy_only=False) // 2), at, x
 
-    small_batches(df)
-    seen = _text(df, text).mapInArrow(vote, "pattern long").groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").toPandas()
-    v = unpack(seen["pattern"].to_numpy(np.int64))
-    weak = fit_weak_labels(v, seen["n"].to_numpy(float))
-    picked = df.select(F.xxhash64(F.col(f"`{id_col}`")).alias("h")).orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
-    sample = df.where(F.xxhash64(F.col(f"`{id_col}`")) <= F.lit(picked if picked is not None else 0)).select(F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{id_col}`")).alias("h"))
-    texts = [r["text"] for r in sample.orderBy("h", "text").limit(fit_rows).toLocalIterator()]
-    p = weak.posterior(unpack(np.array([pattern(t) for t in texts], np.int64))) if texts else np.zeros(0)
-    return weak, fit_scorer(texts, p)
 
+def fit_scorer(prepared: DataFrame, posterior: np.ndarray, codes: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights of the logistic scorer over all prepared rows, the intercept last, on soft labels of equal class weight.
 
-def classify(df: DataFrame, text: str = "text", id_col: str = "doc_id", fit_rows: int = FIT_ROWS, bar: float = 0.5) -> DataFrame:
+    ``posterior`` and ``count`` go with the vote patterns ``codes``.  In each round every task sums its rows' gradient,
+    parts of which are added where they meet: what reaches the driver is one vector, however many rows there are.
+    """
+    total = count.sum()
+    if not total:
+        return np.zeros(BUCKETS + 1)
+    soft = np.zeros(3 ** len(LABELLERS))
+    soft[codes] = posterior
+    share = float(np.clip((posterior * count).sum() / total, 0.02, 0.98))
+    weight = (soft / share + (1 - soft) / (1 - share)) / total
+
+    def ask(w: np.ndarray) -> tuple[float, np.ndarray]:
+        def part(batches: Iterable[pa.RecordBatch]) -> Rows:
+            loss, g = 0.0, np.zeros(BUCKETS + 1)
+            for b in sliced(batches):
+                row, at, x = _flat(b)
+                code = b.column("pattern").to_numpy(zero_copy_only=False)
+                p, own = soft[code], weight[code]
+                z = np.bincount(row, w[at] * x, b.num_rows) + w[-1]
+                loss += float((own * (np.logaddexp(0.0, z) - p * z)).sum())
+                d = own * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - p)
+                g[:-1] += np.bincount(at, d[row] * x, BUCKETS)
+                g[-1] += d.sum()
+            whole = np.append(g, loss)
+            starts = range(0, len(whole), _PART)
+            yield pa.RecordBatch.from_arrays([pa.array([*starts], pa.int32()), pa.array([whole[i : i + _PART].tobytes() for i in starts], pa.binary())], ["part", "sums"])
+
+        def add(batches: Iterable[pa.RecordBatch]) -> Rows:
+            sums: dict[int, np.ndarray] = {}
+            for b in batches:
+                for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    sums[i] = sums.get(i, 0.0) + np.frombuffer(x)
+            yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "sums"])
+
+        kind = "part int, sums binary"
+        got = prepared.select("pattern", "buckets", "amounts").mapInArrow(part, kind).repartition("part").mapInArrow(add, kind).collect()
+        whole = np.concatenate([np.frombuffer(r["sums"]) for r in sorted(got)])
+        return float(whole[-1] + RIDGE * (w @ w) / 2), whole[:-1] + RIDGE * w
+
+    return minimise(ask, np.zeros(BUCKETS + 1), rounds)
+
+
+def fit(prepared: DataFrame, rounds: int = ROUNDS) -> tuple[WeakLabels, np.ndarray]:
+    """The weak-label model from the vote patterns of all rows, and the scorer under its posteriors."""
+    seen = prepared.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").toPandas()
+    codes, count = seen["pattern"].to_numpy(np.int64), seen["n"].to_numpy(float)
+    weak = fit_weak_labels(unpack(codes), count)
+    return weak, fit_scorer(prepared, weak.posterior(unpack(codes)), codes, count, rounds)
+
+
+def accuracies(spark: SparkSession, weak: WeakLabels) -> DataFrame:
+    """``labeller, says_good_of_good, says_bad_of_bad``: how often each labeller, if it speaks, is estimated to be right."""
+    rows = [(name, float(weak.says[1][k, GOOD]), float(weak.says[0][k, BAD])) for k, name in enumerate(LABELLERS)]
+    return spark.createDataFrame(rows, "labeller string, says_good_of_good double, says_bad_of_bad double")
+
+
+def classify(df: DataFrame, text: str = "text", id_col: str = "doc_id", bar: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
     """Per input row ``doc_id``, the scorer's ``score`` (its probability of good) and ``kept``.
 
     A text is kept if its score is at least ``bar``.  Null and empty texts have no words and are rejected.  Repeated
     rows each give a row; on an empty table nothing is fitted and nothing comes out; other columns play no part.
     """
-    _, w = fit(df, text, id_col, fit_rows)
+    prepared = prepare(df, text, id_col)
+    _, w = fit(prepared, rounds)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         for b in sliced(batches):
-            texts = b.column(1).to_pylist()
-            s = [score(t, w) if t and t.strip() else 0.0 for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array([x >= bar for x in s], pa.bool_())], ["doc_id", "score", "kept"])
+            row, at, x = _flat(b)
+            z = np.bincount(row, w[at] * x, b.num_rows) + w[-1]
+            s = np.where(b.column("filled").to_numpy(zero_copy_only=False), 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), pa.array(s >= bar)], ["doc_id", "score", "kept"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, score double, kept boolean")
+    kind = prepared.schema["doc_id"].dataType.simpleString()
+    return prepared.mapInArrow(run, f"doc_id {kind}, score double, kept boolean")
 
 
-def keep_good(df: DataFrame, text: str = "text", id_col: str = "doc_id", fit_rows: int = FIT_ROWS, bar: float = 0.5) -> DataFrame:
+def keep_good(df: DataFrame, text: str = "text", id_col: str = "doc_id", bar: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
     """The rows of ``df`` that :func:`classify` keeps, all columns as they are."""
-    _, w = fit(df, text, id_col, fit_rows)
+    _, w = fit(prepare(df, text, id_col), rounds)
     at = df.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         for b in sliced(batches):
             texts = b.column(at).to_pylist()
-            yield b.filter(pa.array([bool(t and t.strip()) and score(t, w) >= bar for t in texts], pa.bool_()))
+            yield b.filter(pa.array([bool(t and t.strip(SPACE)) and score(t, w) >= bar for t in texts], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, sha256_hex, sliced, small_batches
+from .common import Rows, sha256_hex, sliced
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -125,17 +125,15 @@ def scan(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", id_co
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         encoding = _encoding(vocabulary, pattern)
-        for b in batches:
+        for b in sliced(batches):
             rows = []
-            for at in range(0, b.num_rows, 500):
-                for t in b.column(1).slice(at, 500).to_pylist():
-                    base, all_spans = scan_text(t or "", encoding, ratio)
-                    kinds = [k for _, _, k in all_spans]
-                    rows.append((*map(kinds.count, KINDS), sha256_hex(written(base).encode()), written(all_spans)))
+            for t in b.column(1).to_pylist():
+                base, all_spans = scan_text(t or "", encoding, ratio)
+                kinds = [k for _, _, k in all_spans]
+                rows.append((*map(kinds.count, KINDS), sha256_hex(written(base).encode()), written(all_spans)))
             n = [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)]
             yield pa.RecordBatch.from_arrays([b.column(0), *n, *(pa.array([r[i] for r in rows], pa.string()) for i in (4, 5))], ["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"])
 
-    small_batches(df)
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string")
 
@@ -168,4 +166,4 @@ def redact(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", rat
                 columns[length] = pa.array([None if t is None else len(t) for t in new], b.schema.field(length).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return small_batches(df).mapInArrow(run, df.schema)
+    return df.mapInArrow(run, df.schema)
