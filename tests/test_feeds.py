@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidebook import catalog_feeds
 from tidebook.operators import trust
-from tidebook.sources import venues
+from tidebook.sources import tape, venues
 
 DATA = "/root/testdata/sf0.001"
 
@@ -35,6 +35,21 @@ def test_checksum_by_hand(spark):
     assert (row["lossy"], row["bid_levels"], row["ask_levels"]) == (1, 2, 2)
 
 
+def test_checksums_of_every_message(spark):
+    from test_engine import plain_books
+
+    books = plain_books(tape.derived_tape(spark, DATA).orderBy("row_ordinal").collect())
+    seen = set()
+    for r in catalog_feeds.book_checksums(spark, DATA).collect():
+        bids, asks = (x[:10] for x in books[r["venue"], r["msg_index"]])
+        sum_ = zlib.crc32("".join((f"{p // 10**7}".lstrip("0") or "0") + (f"{q // 10**6}".lstrip("0") or "0") for p, q in (*asks, *bids)).encode())
+        wrong = r["msg_index"] % 53 == 0
+        assert r["computed"] == sum_ and (r["expected"] == sum_) != wrong
+        assert r["verdict"] == ("in_order" if not wrong else "divergence" if min(len(bids), len(asks)) >= 10 else "unverifiable")
+        seen.add(r["verdict"])
+    assert seen == {"in_order", "divergence", "unverifiable"}
+
+
 def test_odd_frames_give_no_rows(spark):
     odd = ["", "{", "null", "[]", '{"channel":"heartbeat"}', '{"channel":"subscriptions","sequence_num":3,"events":[{"subscriptions":{"level2":["BTC-USD"]}}]}', '{"e":"trade"}', '{"data":{}}', '{"topic":"tickers","data":{"s":"x"}}', None]
     frames = spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "n int, payload string")

@@ -1,7 +1,5 @@
 """Checkpoints, probes and archive care."""
 
-import os
-
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -41,20 +39,6 @@ def test_archive_care(spark, tmp_path):
     first = files.orderBy("path").first()["path"]
     wrong = files.withColumn("rows", F.when(F.col("path") == first, F.col("rows") + 1).otherwise(F.col("rows")))
     assert [tuple(r) for r in maintenance.verify(spark, root, wrong).collect()] == [(first, "rows")]
-    folder = os.path.dirname(f"{tmp_path}/a/{first}")
-    with open(f"{folder}/torn.parquet", "wb") as f:
-        f.write(b"PAR1nothing")
-    open(f"{folder}/x.partial", "wb").close()
-    done = maintenance.recover(spark, root, files.where(F.col("path") != first), 5)
-    assert sorted(e["kind"] for e in done) == ["file", "truncation", "truncation"] and not os.path.exists(f"{folder}/torn.parquet")
-    listed = tape.read_manifest(spark, f"{root}/_manifest")
-    assert [(r["path"], r["venue"]) for r in listed.collect()] == [(first, first.split("/")[0][6:])]
-    with maintenance.locked(spark, root):
-        with pytest.raises(RuntimeError, match="writer"):
-            with maintenance.locked(spark, root):
-                pass
-    with maintenance.locked(spark, root):
-        pass
     frozen = maintenance.freeze(spark, root).cache()
     assert frozen.count() == files.count() and maintenance.thawed(frozen, maintenance.freeze(spark, root)).count() == 0
     maintenance.transcode(spark, root, f"{root}2", "gzip", 1 << 16, 1 << 20)

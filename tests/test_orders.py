@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from plain_orders import OrderBook
 from tidebook import catalog_orders
 from tidebook.operators import orders
 from tidebook.sources.order_tape import derived_orders
@@ -28,7 +29,7 @@ def test_windows_agree_with_the_fold(spark):
     said = {r["ordinal"]: (r["outcome"], r["traded"]) for r in done.collect()}
     books, told = {}, {}
     for r in events.orderBy("ordinal").collect():
-        own = books.setdefault(r["venue"], orders.OrderBook())
+        own = books.setdefault(r["venue"], OrderBook())
         told[r["ordinal"]] = own.apply(r["action"], r["order_id"], r["side"], r["price"], r["qty"], r["executed"])
     assert said == told
     rows = orders.queues(done, 10**9).collect()
@@ -40,7 +41,7 @@ def test_windows_agree_with_the_fold(spark):
 
 
 def test_seeded_orders_are_pruned_until_uncrossed():
-    b = orders.OrderBook()
+    b = OrderBook()
     b.seed([("a", 0, 10, 5), ("b", 0, 9, 5), ("c", 1, 11, 5), ("zero", 1, 12, 0)])
     assert b.apply("add", "d", 1, 9, 2) == ("applied", None) and b.crossed()
     assert b.prune_seeded() == 1 and not b.crossed() and b.best(0) == 9

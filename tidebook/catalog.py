@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import expr
 from .operators import book, pit, research, trust
+from .plans.durable import materialize
 from .registry import Registry
 from .sources import tape
 from .streaming import features
@@ -49,8 +50,15 @@ _own = Registry()
 query = _own.query
 
 
+_numbered_rows: dict[tuple[str, str], DataFrame] = {}
+
+
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.with_position(book.with_epoch(tape.derived_tape(spark, sf_dir)))
+    """The archive's rows with epoch and message number, written once in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _numbered_rows:
+        _numbered_rows[key] = materialize(book.with_position(tape.recorded(spark, sf_dir)), "numbered")
+    return _numbered_rows[key]
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +72,7 @@ def derived_tape(spark, sf_dir):
 
 @query(_BASE + "\nSELECT venue, symbol, row_ordinal, epoch FROM r")
 def epochs(spark, sf_dir):
-    return book.with_epoch(tape.derived_tape(spark, sf_dir)).select(*KEYS, "row_ordinal", "epoch")
+    return book.with_epoch(tape.recorded(spark, sf_dir)).select(*KEYS, "row_ordinal", "epoch")
 
 
 @query(_BASE + "\nSELECT venue, symbol, epoch, msg_index, event, n_rows, first_ordinal, recv_wall, suspect FROM m")
@@ -128,13 +136,12 @@ def book_anomalies(spark, sf_dir):
 
 @query(_BASE + f" SELECT venue, symbol, row_ordinal, recv_wall, side, price, qty FROM tape WHERE recv_wall > {AT} AND recv_wall <= {AT + 24 * HOUR} AND NOT suspect")
 def range_scan(spark, sf_dir):
-    t = tape.derived_tape(spark, sf_dir)
-    return t.where((F.col("recv_wall") > AT) & (F.col("recv_wall") <= AT + 24 * HOUR) & ~F.col("suspect")).select(*KEYS, "row_ordinal", "recv_wall", "side", "price", "qty")
+    return tape.recorded(spark, sf_dir, AT, AT + 24 * HOUR).where(~F.col("suspect")).select(*KEYS, "row_ordinal", "recv_wall", "side", "price", "qty")
 
 
 @query(_BASE + f" SELECT venue, symbol, max(recv_wall) AS snapshot_at FROM tape WHERE event = 0 AND recv_wall <= {AT} GROUP BY ALL")
 def snapshot_probe(spark, sf_dir):
-    return tape.derived_tape(spark, sf_dir).where((F.col("event") == 0) & (F.col("recv_wall") <= AT)).groupBy(*KEYS).agg(F.max("recv_wall").alias("snapshot_at"))
+    return tape.recorded(spark, sf_dir, until=AT).where(F.col("event") == 0).groupBy(*KEYS).agg(F.max("recv_wall").alias("snapshot_at"))
 
 
 _OBS = _BASE + f""", o AS (SELECT venue AS entity, price AS value, venue_ts AS event_time, recv_wall AS available_at, row_ordinal AS arrival FROM tape WHERE side = 0 AND qty <> 0),
@@ -149,7 +156,7 @@ FROM w LEFT JOIN o ON o.arrival = w.arrival"""
 
 
 def _probed(spark, sf_dir, clock):
-    seen = pit.observations(tape.derived_tape(spark, sf_dir))
+    seen = pit.observations(tape.recorded(spark, sf_dir))
     return pit.as_of(seen, pit.grid(seen, START, START + 720 * HOUR, 6 * HOUR), HOUR, clock)
 
 
@@ -166,7 +173,7 @@ def event_time_leak_control(spark, sf_dir):
 @query(_OBS + f"""w AS (SELECT entity, max(arrival) AS arrival FROM o WHERE available_at <= {AT} GROUP BY ALL)
 SELECT entity, o.value, arrival, CASE WHEN o.event_time IS NULL THEN 'age_unknown' WHEN {AT} - o.event_time <= {HOUR} THEN 'fresh' ELSE 'stale' END AS freshness FROM w JOIN o USING (entity, arrival)""")
 def online_latest(spark, sf_dir):
-    return pit.latest(pit.observations(tape.derived_tape(spark, sf_dir)), AT, HOUR)
+    return pit.latest(pit.observations(tape.recorded(spark, sf_dir)), AT, HOUR)
 
 
 _FEATURES = """SELECT venue, symbol, CAST(venue_ts - venue_ts % 600000000000 AS BIGINT) AS window_start, count(*) AS rows, count(*) FILTER (qty = 0) AS removals, count(*) FILTER (side = 0) AS bid_rows,
@@ -176,12 +183,12 @@ _FEATURES = """SELECT venue, symbol, CAST(venue_ts - venue_ts % 600000000000 AS
 
 @query(_BASE + " " + _FEATURES)
 def window_features_10m(spark, sf_dir):
-    return features.window_features(tape.derived_tape(spark, sf_dir), "10 minutes")
+    return features.window_features(tape.recorded(spark, sf_dir), "10 minutes")
 
 
 def _revisions(spark, sf_dir):
     """Three revisions as a sink holds them: each batch sees a third more of the arrivals."""
-    t = tape.derived_tape(spark, sf_dir).withColumn("batch_id", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(3)]))).where("row_ordinal % 3 <= batch_id and venue_ts is not null")
+    t = tape.recorded(spark, sf_dir).withColumn("batch_id", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(3)]))).where("row_ordinal % 3 <= batch_id and venue_ts is not null")
     cut = t.withColumn("window_start", F.col("venue_ts") - F.pmod("venue_ts", F.lit(600_000_000_000)))
     return cut.groupBy(*KEYS, "window_start", "batch_id").agg(F.count("*").alias("rows"), F.max("recv_wall").alias("availability_max"))
 
@@ -214,7 +221,7 @@ g AS (SELECT venue, symbol, bucket FROM (SELECT DISTINCT venue, symbol FROM c),
 SELECT venue, symbol, bucket, coalesce(messages, 0) AS messages, coalesce(rows, 0) AS rows, coalesce(suspect_rows, 0) AS suspect_rows,
   CASE WHEN messages IS NULL THEN 'absent' WHEN suspect_rows > 0 THEN 'suspect' WHEN venue = 'kraken' THEN 'clean' ELSE 'unverifiable' END AS state FROM g LEFT JOIN c USING (venue, symbol, bucket)""")
 def coverage_grid(spark, sf_dir):
-    return trust.coverage_grid(tape.derived_tape(spark, sf_dir), 6 * HOUR, {"kraken": True, "coinbase": False})
+    return trust.coverage_grid(tape.recorded(spark, sf_dir), 6 * HOUR, {"kraken": True, "coinbase": False})
 
 
 def _numbered(spark, sf_dir):
@@ -245,7 +252,7 @@ def chain_verdicts(spark, sf_dir):
 f AS (SELECT *, max(ts) OVER (PARTITION BY venue, symbol ORDER BY first_ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS fl FROM s)
 SELECT venue, symbol, msg_index, CASE WHEN ts IS NULL THEN 'absent' WHEN fl IS NULL OR ts > fl THEN 'unverifiable' WHEN ts = fl THEN 'duplicate' ELSE 'out_of_order' END AS verdict FROM f""")
 def timestamp_verdicts(spark, sf_dir):
-    stamped = tape.derived_tape(spark, sf_dir).groupBy(*KEYS, "msg_index").agg(F.min("row_ordinal").alias("first_ordinal"), F.max("venue_ts").alias("venue_ts"))
+    stamped = tape.recorded(spark, sf_dir).groupBy(*KEYS, "msg_index").agg(F.min("row_ordinal").alias("first_ordinal"), F.max("venue_ts").alias("venue_ts"))
     return trust.timestamp_verdicts(stamped).select(*KEYS, "msg_index", "verdict")
 
 
@@ -269,7 +276,7 @@ def gap_report(spark, sf_dir):
 k AS (SELECT *, row_number() OVER (PARTITION BY venue, symbol ORDER BY skew) - 1 AS i, count(*) OVER (PARTITION BY venue, symbol) AS n FROM s)
 SELECT venue, symbol, min(skew) FILTER (i >= floor(0.5 * (n - 1) + 0.5)) AS q50, min(skew) FILTER (i >= floor(0.9 * (n - 1) + 0.5)) AS q90, min(skew) FILTER (i >= floor(0.99 * (n - 1) + 0.5)) AS q99 FROM k GROUP BY ALL""")
 def skew_quantiles(spark, sf_dir):
-    skew = tape.derived_tape(spark, sf_dir).withColumn("skew", F.col("recv_wall") - F.col("venue_ts"))
+    skew = tape.recorded(spark, sf_dir).withColumn("skew", F.col("recv_wall") - F.col("venue_ts"))
     return trust.quantile_ranks(skew, "skew", KEYS, [0.5, 0.9, 0.99])
 
 
@@ -277,20 +284,20 @@ def skew_quantiles(spark, sf_dir):
 g AS (SELECT *, CASE WHEN x <> 0 THEN CAST(floor(log2(abs(x)::DOUBLE)) AS BIGINT) END AS pw FROM s)
 SELECT venue, symbol, CASE WHEN x = 0 THEN 0 ELSE CAST(sign(x) AS BIGINT) * (pw * 8 + CAST(floor((abs(x)::DOUBLE / pow(2.0::DOUBLE, pw) - 1) * 8) AS BIGINT) + 1) END AS bucket, count(*) AS n FROM g GROUP BY ALL""")
 def skew_histogram(spark, sf_dir):
-    t = tape.derived_tape(spark, sf_dir).where("venue_ts is not null")
+    t = tape.recorded(spark, sf_dir).where("venue_ts is not null")
     return t.withColumn("bucket", trust.latency_bucket(F.col("recv_wall") - F.col("venue_ts"))).groupBy(*KEYS, "bucket").agg(F.count("*").alias("n"))
 
 
 @query(_BASE + """, v AS (SELECT venue, symbol, max(venue_ts) OVER (PARTITION BY venue, symbol ORDER BY row_ordinal) - venue_ts AS behind FROM tape WHERE venue_ts IS NOT NULL)
 SELECT venue, symbol, max(behind) AS worst_ns, count(*) FILTER (behind > 0) AS inverted FROM v GROUP BY ALL""")
 def worst_inversion(spark, sf_dir):
-    return trust.inversions(tape.derived_tape(spark, sf_dir))
+    return trust.inversions(tape.recorded(spark, sf_dir))
 
 
 @query(_BASE + """, v AS (SELECT venue, symbol, venue_ts < max(venue_ts) OVER (PARTITION BY venue, symbol ORDER BY row_ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 20000000 AS late FROM tape WHERE venue_ts IS NOT NULL)
 SELECT venue, symbol, count(*) AS rows, count(*) FILTER (late) AS late FROM v GROUP BY ALL""")
 def late_events(spark, sf_dir):
-    return trust.late_rows(tape.derived_tape(spark, sf_dir).where("venue_ts is not null"), 20_000_000)
+    return trust.late_rows(tape.recorded(spark, sf_dir).where("venue_ts is not null"), 20_000_000)
 
 
 @query(_PANEL + " SELECT * FROM p")
@@ -396,7 +403,7 @@ def block_bootstrap(spark, sf_dir):
 
 def _files(spark, sf_dir):
     """The tape cut to files of 500 rows, as a manifest lists them."""
-    t = tape.derived_tape(spark, sf_dir).withColumn("part", F.expr("row_ordinal div 500"))
+    t = tape.recorded(spark, sf_dir).withColumn("part", F.expr("row_ordinal div 500"))
     f = t.groupBy(*KEYS, "part").agg(F.count("*").alias("rows"), F.min("recv_wall").alias("first_recv_wall"), F.max("recv_wall").alias("last_recv_wall"))
     return f.select(*KEYS, F.concat_ws("-", "venue", F.col("part").cast("string")).alias("path"), expr.utc_date(F.col("first_recv_wall")).cast("string").alias("date"), "rows", (F.col("rows") * 10).alias("bytes"), "first_recv_wall", "last_recv_wall")
 
@@ -421,12 +428,10 @@ def partition_rollup(spark, sf_dir):
     return _files(spark, sf_dir).groupBy(*KEYS, "date").agg(F.sum("rows").alias("rows"), F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.min("first_recv_wall").alias("first"), F.max("last_recv_wall").alias("last"))
 
 
-@query(_BASE + """, x AS (SELECT DISTINCT price FROM tape), g AS (SELECT price - lag(price) OVER (ORDER BY price) AS d FROM x) SELECT min(d) AS tick FROM g WHERE d > 0""")
+@query(_BASE + """, x AS (SELECT DISTINCT venue, symbol, price FROM tape), g AS (SELECT venue, symbol, price - lag(price) OVER (PARTITION BY venue, symbol ORDER BY price) AS d FROM x)
+SELECT venue, symbol, min(d) AS tick FROM g WHERE d > 0 GROUP BY ALL""")
 def observed_tick(spark, sf_dir):
-    from pyspark.sql import Window
-
-    prices = tape.derived_tape(spark, sf_dir).select(*KEYS, "price").distinct().groupBy("price").count().select("price")
-    return prices.select((F.col("price") - F.lag("price").over(Window.orderBy("price"))).alias("d")).where("d > 0").agg(F.min("d").alias("tick"))
+    return trust.observed_tick(tape.recorded(spark, sf_dir))
 
 
 @query(_BASE + """, k AS (SELECT venue, symbol, spread, row_number() OVER (PARTITION BY venue, symbol ORDER BY spread) - 1 AS i, count(*) OVER (PARTITION BY venue, symbol) AS n FROM qt WHERE spread IS NOT NULL)
@@ -452,7 +457,7 @@ def fixed_point(spark, sf_dir):
 @query(_BASE + """ SELECT row_ordinal, strftime(make_timestamp(recv_wall // 1000), '%Y-%m-%dT%H:%M:%S') || '.' || lpad(CAST(recv_wall % 1000000000 AS VARCHAR), 9, '0') || 'Z' AS shown, recv_wall AS parsed,
   CAST(CAST(make_timestamp(recv_wall // 1000) AS DATE) AS VARCHAR) AS day, recv_wall - recv_wall % 600000000000 AS bucket FROM tape""")
 def instants(spark, sf_dir):
-    t, at = tape.derived_tape(spark, sf_dir), F.col("recv_wall")
+    t, at = tape.recorded(spark, sf_dir), F.col("recv_wall")
     return t.select("row_ordinal", expr.instant_text(at).alias("shown"), expr.parse_instant(expr.instant_text(at)).alias("parsed"), expr.utc_date(at).cast("string").alias("day"), expr.floor_bucket(at, 600_000_000_000).alias("bucket"))
 
 
@@ -468,7 +473,7 @@ def truncation_overlap(spark, sf_dir):
 @query(_BASE + """ SELECT venue, symbol, count(*) AS total, count(DISTINCT row_ordinal) AS distinct_rows, count(*) - count(DISTINCT row_ordinal) AS duplicates, count(*) FILTER (venue_ts IS NULL) AS no_event_time
   FROM (SELECT * FROM tape UNION ALL SELECT * FROM tape WHERE row_ordinal % 10 = 0) GROUP BY ALL""")
 def topic_census(spark, sf_dir):
-    t = tape.derived_tape(spark, sf_dir)
+    t = tape.recorded(spark, sf_dir)
     sent = features.parse(features.payloads(t.unionByName(t.where("row_ordinal % 10 = 0"))))
     return sent.groupBy(*KEYS).agg(F.count("*").alias("total"), F.count_distinct("row_ordinal").alias("distinct_rows"), (F.count("*") - F.count_distinct("row_ordinal")).alias("duplicates"), F.count_if(F.col("venue_ts").isNull()).alias("no_event_time"))
 

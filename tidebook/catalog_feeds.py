@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .catalog import _BASE, AT, HOUR, KEYS, START, rows
 from .functions.expr import instant_text, render_decimal
 from .operators import book, trust
+from .plans.durable import materialize
 from .registry import Registry
 from .sources import tape, venues
 
@@ -20,7 +25,7 @@ _ROWS = " SELECT msg_index, CAST(row_number() OVER (PARTITION BY msg_index ORDER
 
 def frames(spark, sf_dir, venue: str) -> DataFrame:
     """``msg_index, payload``: a frame per message of the tape in the form of ``venue``."""
-    t = tape.derived_tape(spark, sf_dir)
+    t = tape.recorded(spark, sf_dir)
     text = lambda c: render_decimal(F.col(c), 9)
     m = t.groupBy("msg_index").agg(F.max("event").alias("event"), F.max("recv_wall").alias("at"), F.sort_array(F.collect_list(F.struct("side", "row_ordinal", text("price").alias("price"), text("qty").alias("qty")))).alias("x"))
     n, at = F.col("msg_index"), F.col("at")
@@ -82,12 +87,29 @@ def parse_bitstamp(spark, sf_dir):
     return _read(spark, sf_dir, "bitstamp")
 
 
+def sent_checksums(books: DataFrame, price_places: int, qty_places: int) -> DataFrame:
+    """What a venue would send along with each message, by its own arithmetic over the shown levels; every 53rd message
+    carries a wrong one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = lambda units, places: (str(units // 10 ** (9 - places)).lstrip("0") or "0")
+        for b in batches:
+            sums = []
+            for index, asks, bids in zip(*(b.column(c).to_pylist() for c in ("msg_index", "asks", "bids")), strict=True):
+                text = "".join(plain(x["price"], price_places) + plain(x["qty"], qty_places) for x in (*asks, *bids))
+                sums.append(zlib.crc32(text.encode()) ^ (index % 53 == 0))
+            yield pa.RecordBatch.from_arrays([b.column("venue"), b.column("symbol"), b.column("msg_index"), pa.array(sums, pa.int64())], ["venue", "symbol", "msg_index", "expected"])
+
+    return books.select(*KEYS, "msg_index", "asks", "bids").mapInArrow(run, "venue string, symbol string, msg_index bigint, expected bigint")
+
+
 @query()
 def book_checksums(spark, sf_dir):
-    levels = book.live_levels(rows(spark, sf_dir)).select(*KEYS, "msg_index", "side", "price", "qty")
-    done = venues.checksums(levels, [*KEYS, "msg_index"], 2, 3)
+    books = materialize(book.shown(rows(spark, sf_dir), venues.CHECKSUM_LEVELS).where("bid_levels + ask_levels > 0"), "books")
+    sent = sent_checksums(books, 2, 3)
+    done = venues.checksums(book.levels_shown(books), [*KEYS, "msg_index"], 2, 3).join(sent, [*KEYS, "msg_index"])
     shallow = F.least("bid_levels", "ask_levels")
-    return done.withColumn("verdict", venues.checksum_verdict(F.col("computed"), F.col("computed"), F.col("lossy"), shallow))
+    return done.withColumn("verdict", venues.checksum_verdict(F.col("expected"), F.col("computed"), F.col("lossy"), shallow))
 
 
 def _ranges(spark, sf_dir):

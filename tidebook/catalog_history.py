@@ -24,7 +24,7 @@ def book_from_checkpoint(spark, sf_dir):
 
 @query(_OBS + f""" e AS (SELECT entity, available_at + unnest([-1, 0, 1]) AS as_of FROM o UNION SELECT entity, as_of FROM a) SELECT DISTINCT entity, as_of FROM e""")
 def probe_edges(spark, sf_dir):
-    return pit.edges(pit.observations(tape.derived_tape(spark, sf_dir)), START, START + 720 * HOUR, 6 * HOUR)
+    return pit.edges(pit.observations(tape.recorded(spark, sf_dir)), START, START + 720 * HOUR, 6 * HOUR)
 
 
 @query(_OBS + f""" e AS (SELECT entity, available_at + unnest([-1, 0, 1]) AS as_of FROM o UNION SELECT entity, as_of FROM a),
@@ -33,7 +33,7 @@ y AS (SELECT entity, tt, probe, max(arrival) OVER (PARTITION BY entity ORDER BY
 SELECT y.entity, y.tt AS as_of, y.arrival, CASE WHEN y.arrival IS NULL THEN 'missing' WHEN o.event_time IS NULL THEN 'age_unknown' WHEN y.tt - o.event_time <= {HOUR} THEN 'fresh' ELSE 'stale' END AS freshness
 FROM y LEFT JOIN o ON o.arrival = y.arrival WHERE probe = 1""")
 def asof_at_edges(spark, sf_dir):
-    seen = pit.observations(tape.derived_tape(spark, sf_dir))
+    seen = pit.observations(tape.recorded(spark, sf_dir))
     return pit.as_of(seen, pit.edges(seen, START, START + 720 * HOUR, 6 * HOUR), HOUR).select("entity", "as_of", "arrival", "freshness")
 
 

@@ -1,27 +1,16 @@
-"""Registered queries of forecasts and simulated strategies; none of them is SQL, tests hold them to hand-made cases."""
+"""Registered queries of forecasts; none of them is SQL, tests hold them to least squares and hand-made cases."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from .catalog import HOUR, KEYS, panel
-from .operators import research, simulate, study
-from .plans.durable import materialize
+from .operators import research, study
 from .registry import Registry
-from .sources import tape
 
 _own = Registry()
 query = _own.query
 WEEK = 7 * 24 * HOUR
-PLANS = simulate.plans({
-    "no_trade": {},
-    "fixed_spread_mm": {"half_spread_bps": [5.0, 20.0], "requote_ms": [60_000], "size": [0.01]},
-    "depth_imbalance": {"depth": [3], "threshold": [0.3, 0.6], "horizon_ms": [600_000], "size": [0.01]},
-    "imbalance_skew_mm": {"depth": [3], "half_spread_bps": [10.0], "skew_bps": [2.0, 5.0], "inventory_bps": [2.0], "requote_ms": [60_000], "size": [0.01]},
-})
-TERMS = simulate.Terms()
-VERIFIABLE = ["kraken", "coinbase"]
-
 
 def _folds(spark, sf_dir):
     p = panel(spark, sf_dir)
@@ -32,14 +21,6 @@ def _folds(spark, sf_dir):
     return study.folds(rows.dropna(), ["r1", "r5", "spread", "half_spread", "one"], "y", 3, 30)
 
 
-def _runs(spark, sf_dir):
-    return simulate.simulate(tape.derived_tape(spark, sf_dir), WEEK, PLANS, TERMS)
-
-
-def _held(spark, sf_dir):
-    return materialize(simulate.walk_forward(_runs(spark, sf_dir)), "held")
-
-
 @query()
 def ols_folds(spark, sf_dir):
     return _folds(spark, sf_dir)
@@ -56,26 +37,4 @@ def crossed_bootstrap(spark, sf_dir):
     return study.crossed_interval(p, "forward_bps", "day", "venue", 500, 7)
 
 
-@query()
-def simulated_runs(spark, sf_dir):
-    return _runs(spark, sf_dir)
-
-
-@query()
-def walk_forward(spark, sf_dir):
-    return simulate.walk_forward(_runs(spark, sf_dir))
-
-
-@query()
-def strategy_totals(spark, sf_dir):
-    return simulate.totals(_held(spark, sf_dir), VERIFIABLE)
-
-
-@query()
-def promotion_gate(spark, sf_dir):
-    held = _held(spark, sf_dir)
-    agree = simulate.direction_agreement(held, VERIFIABLE)
-    return simulate.gate(simulate.totals(held, VERIFIABLE), simulate.total_interval(held, VERIFIABLE, 2, 500, 7), agree, "imbalance_skew_mm", ["no_trade", "fixed_spread_mm"], True)
-
-
 queries, oracle_sql = _own.queries, _own.oracle_sql

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans import running
+
 
 def observations(rows: DataFrame) -> DataFrame:
     """Bid prices as they arrived: entity, value, event time, availability and arrival order."""
@@ -50,9 +52,9 @@ def edges(observed: DataFrame, start: int, end: int, step: int) -> DataFrame:
 def paced(messages: DataFrame, speed: float) -> DataFrame:
     """``wait_ns``: how long after the message before it each is due at ``speed`` times real time; a clock that steps
     back makes no debt."""
-    w = Window.partitionBy("venue", "symbol").orderBy("first_ordinal")
-    gap = F.col("recv_wall") - F.lag("recv_wall").over(w)
-    return messages.withColumn("wait_ns", F.floor(F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)) / speed).cast("bigint"))
+    seen = running.before(messages, ["venue", "symbol"], "first_ordinal", was_at=("lag", F.col("recv_wall")))
+    gap = F.col("recv_wall") - F.col("was_at")
+    return seen.withColumn("wait_ns", F.floor(F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)) / speed).cast("bigint")).drop("was_at")
 
 
 def compare_reports(a: DataFrame, b: DataFrame) -> DataFrame:

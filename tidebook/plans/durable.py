@@ -34,16 +34,23 @@ def _at(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, at = _at(spark, path)
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared folder and return it as a scan of that table.
 
     The files go when the application ends, or with :func:`release`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name) + "/table"
     df.write.mode("error").parquet(path)
-    fs, at = _at(spark, path)
-    fs.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out

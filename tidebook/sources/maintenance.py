@@ -1,116 +1,14 @@
-"""Care of an archive: lock, manifest entries, verification, recovery, frozen data sets, checkpoints.
-
-Files are reached through Hadoop's file systems only, so that archives in any store that Spark reads will do.
-"""
+"""Care of an archive: verification, frozen data sets, transcoding, checkpoints."""
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import book
 from .tape import KEYS
 
 
-def _fs(spark: SparkSession, path: str):
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
-
-
-def _write(spark: SparkSession, path: str, text: str) -> None:
-    """A new file, seen whole or not at all; raises if it is there."""
-    fs, at = _fs(spark, path)
-    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex}.partial")
-    out = fs.create(part, False)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if fs.exists(at) or not fs.rename(part, at):
-        fs.delete(part, False)
-        raise FileExistsError(path)
-
-
-@contextmanager
-def locked(spark: SparkSession, root: str) -> Iterator[None]:
-    """One writer at a time: holds a lock file made by a create that fails if it is there."""
-    fs, at = _fs(spark, f"{root}/_lock")
-    try:
-        fs.create(at, False).close()
-    except Exception as e:
-        if fs.exists(at):
-            raise RuntimeError(f"{root} has a writer") from e
-        raise
-    try:
-        yield
-    finally:
-        fs.delete(at, False)
-
-
-def record(spark: SparkSession, root: str, entries: list[dict]) -> None:
-    """Appends manifest entries as one new file; names rise with time, so reading all in order is the log."""
-    fs, at = _fs(spark, f"{root}/_manifest")
-    n = len(fs.listStatus(at)) if fs.exists(at) else 0
-    _write(spark, f"{root}/_manifest/{n:012d}.jsonl", "".join(json.dumps(e, sort_keys=True) + "\n" for e in entries))
-
-
-def data_files(spark: SparkSession, root: str) -> dict[str, int]:
-    """Path below ``root`` and size of each data file, finished or not."""
-    fs, at = _fs(spark, root)
-    base, found = fs.makeQualified(at).toString().rstrip("/") + "/", {}
-    walk = fs.listFiles(at, True)
-    while walk.hasNext():
-        s = walk.next()
-        path = s.getPath().toString().removeprefix(base)
-        if path.endswith((".parquet", ".partial")) and not path.startswith("_"):
-            found[path] = s.getLen()
-    return found
-
-
-def footers(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
-    """``path, rows, first_recv_wall, last_recv_wall, readable``: a small job per file, for the few files that no entry lists."""
-    out = None
-    for p in paths:
-        try:
-            one = spark.read.parquet(f"{root}/{p}").agg(F.count("*").alias("rows"), F.min("recv_wall").alias("first_recv_wall"), F.max("recv_wall").alias("last_recv_wall")).first()
-            row = (p, one["rows"], one["first_recv_wall"], one["last_recv_wall"], True)
-        except Exception:  # a broken file fails in many ways, all of which say the same of it
-            row = (p, None, None, None, False)
-        out = [*(out or []), row]
-    return spark.createDataFrame(out or [], "path string, rows bigint, first_recv_wall bigint, last_recv_wall bigint, readable boolean")
-
-
-def recover(spark: SparkSession, root: str, listed: DataFrame, now: int) -> list[dict]:
-    """Puts an archive in order after a crash; returns and records what was done.
-
-    Whole files that no entry lists are taken in; broken and unfinished ones go to ``_quarantine`` with a loss that ends
-    now.  Only unlisted files are opened, of which a crash leaves few.
-    """
-    known = {r["path"] for r in listed.select("path").toLocalIterator()}
-    loose = sorted(p for p in data_files(spark, root) if p not in known)
-    done = []
-    whole = {r["path"]: r for r in footers(spark, root, [p for p in loose if p.endswith(".parquet")]).toLocalIterator() if r["readable"]}
-    for p in loose:
-        named = dict(x.split("=", 1) for x in p.split("/") if "=" in x)
-        if p in whole:
-            r = whole[p]
-            done.append({"kind": "file", "path": p, **named, "rows": r["rows"], "first_recv_wall": r["first_recv_wall"], "last_recv_wall": r["last_recv_wall"]})
-            continue
-        fs, at = _fs(spark, f"{root}/{p}")
-        _, to = _fs(spark, f"{root}/_quarantine/{p}")
-        fs.mkdirs(to.getParent())
-        if not fs.rename(at, to):
-            raise OSError(f"{p} could not be moved")
-        done.append({"kind": "truncation", "venue": named.get("venue"), "symbol": named.get("symbol"), "reason": "unfinished file", "quarantined": p, "lost_to_wall": now})
-    if done:
-        record(spark, root, done)
-    return done
-
-
 def verify(spark: SparkSession, root: str, listed: DataFrame) -> DataFrame:
     """``path, problem`` of files whose rows are not as many as listed, that lie under another venue or symbol, or are
     listed and absent: one scan of the two key columns."""
@@ -128,7 +26,8 @@ def schema_conflict(want: StructType, have: StructType) -> dict[str, list[str]]:
 
 
 def freeze(spark: SparkSession, root: str) -> DataFrame:
-    """``path, bytes, sha256`` of every data file: what a study pins."""
+    """``path, bytes, sha256`` of every data file: what a study pins.  A file is one row while it is hashed; archives
+    bound their files by rows (``write_archive``), and Spark reads none beyond 2 GB this way."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
     return files.select(F.regexp_extract("path", r"(venue=.*|[^/]*)$", 1).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
@@ -141,18 +40,28 @@ def thawed(frozen: DataFrame, now: DataFrame) -> DataFrame:
 
 def transcode(spark: SparkSession, root: str, out: str, codec: str, page_bytes: int, group_bytes: int) -> None:
     """The same rows in the same files' order with another codec and other page and group sizes."""
-    rows = spark.read.parquet(root).repartition(*KEYS, "date").sortWithinPartitions(*KEYS, "date", "recv_wall", "row_ordinal")
+    order = [*KEYS, "date", "recv_wall", "row_ordinal"]
+    rows = spark.read.parquet(root).repartitionByRange(*order).sortWithinPartitions(*order)
     rows.write.partitionBy(*KEYS, "date").option("compression", codec).option("parquet.page.size", page_bytes).option("parquet.block.size", group_bytes).parquet(out)
 
 
 def checkpoints(rows: DataFrame, instants: list[int]) -> DataFrame:
-    """The book at each instant with the ordinal it reaches: ``at, venue, symbol, side, price, qty, upto``."""
-    out = None
-    for at in instants:
-        upto = rows.where(F.col("recv_wall") <= at).groupBy(*KEYS).agg(F.max("row_ordinal").alias("upto"))
-        one = book.book_at(rows, at).select(*KEYS, "side", "price", "qty").join(upto, KEYS).withColumn("at", F.lit(at))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """The book at each instant with the ordinal it reaches: ``at, venue, symbol, side, price, qty, upto``.
+
+    One pass: rows fall between instants, each level keeps its last write there, and a write stands at every instant
+    until the level's next one, as long as its epoch is the newest."""
+    marks = sorted(instants)
+    due = F.size(F.filter(F.array(*[F.lit(x).cast("bigint") for x in marks]), lambda x: x < F.col("recv_wall")))
+    cut = rows.withColumn("i", due).where(F.col("i") < len(marks))
+    reached = cut.groupBy(*KEYS, "i").agg(F.max("row_ordinal").alias("upto"), F.max("epoch").alias("epoch"))
+    slots = reached.select(*KEYS).distinct().withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(len(marks) - 1))))
+    upto = Window.partitionBy(*KEYS).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    state = slots.join(reached, [*KEYS, "i"], "left").select(*KEYS, "i", F.max("upto").over(upto).alias("upto"), F.max("epoch").over(upto).alias("epoch"))
+    wrote = cut.where("qty >= 0").groupBy(*KEYS, "epoch", "side", "price", "i").agg(F.max_by("qty", "row_ordinal").alias("qty"))
+    later = F.lead("i").over(Window.partitionBy(*KEYS, "epoch", "side", "price").orderBy("i"))
+    held = wrote.withColumn("to", F.coalesce(later - 1, F.lit(len(marks) - 1))).where("qty > 0").withColumn("i", F.explode(F.sequence("i", "to"))).drop("to")
+    at = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in marks]), F.col("i") + 1)
+    return held.join(state, [*KEYS, "epoch", "i"]).select(*KEYS, "side", "price", "qty", "upto", at.alias("at"))
 
 
 def restore(rows: DataFrame, saved: DataFrame, at: int) -> DataFrame:

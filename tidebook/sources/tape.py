@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import DAY, UNIT, floor_bucket
+from ..functions.expr import DAY, UNIT, utc_date
+from ..plans.durable import scratch_path
 
 MICRO = 1_000
 KEYS = ["venue", "symbol"]
@@ -33,19 +36,43 @@ def derived_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_archive(rows: DataFrame, root: str, rows_per_file: int = 250_000, codec: str = "zstd") -> None:
-    """``venue=/symbol=/date=`` Parquet, each file in receipt order, so that only the clustered column's statistics prune."""
-    dated = rows.withColumn("date", F.date_add(F.lit("1970-01-01").cast("date"), (floor_bucket(F.col("recv_wall"), DAY) / DAY).cast("int")))
-    (dated.repartition(*KEYS, "date").sortWithinPartitions(*KEYS, "date", "recv_wall", "row_ordinal").write.mode("append").partitionBy(*KEYS, "date")
-     .option("compression", codec).option("maxRecordsPerFile", rows_per_file).parquet(root))
+    """``venue=/symbol=/date=`` Parquet, each file in receipt order, so that only the clustered column's statistics prune.
+
+    Rows are dealt by ranges of receipt within a day, so that a busy day of one instrument is many tasks' work."""
+    order = [*KEYS, "date", "recv_wall", "row_ordinal"]
+    dated = rows.withColumn("date", utc_date(F.col("recv_wall"))).repartitionByRange(*order).sortWithinPartitions(*order)
+    dated.write.mode("append").partitionBy(*KEYS, "date").option("compression", codec).option("maxRecordsPerFile", rows_per_file).parquet(root)
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
+def archive_of(spark: SparkSession, sf_dir: str) -> str:
+    """The archive of the derived tape, written once in an application, below the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        path = scratch_path(spark, "archive")
+        write_archive(derived_tape(spark, sf_dir), path)
+        _written[key] = path
+    return _written[key]
+
+
+def recorded(spark: SparkSession, sf_dir: str, after: int | None = None, until: int | None = None) -> DataFrame:
+    """Rows of that archive, without the date they lie under."""
+    return read_archive(spark, archive_of(spark, sf_dir), after, until).drop("date")
+
+
+def _day(at: int):
+    return F.lit(date(1970, 1, 1) + timedelta(days=at // DAY))
 
 
 def read_archive(spark: SparkSession, root: str, after: int | None = None, until: int | None = None, columns: list[str] | None = None) -> DataFrame:
     """Rows with ``after < recv_wall <= until``; both bounds reach the scan, and the dates they imply prune folders."""
     rows = spark.read.parquet(root)
     if after is not None:
-        rows = rows.where((F.col("recv_wall") > after) & (F.col("date") >= F.date_add(F.lit("1970-01-01").cast("date"), after // DAY)))
+        rows = rows.where((F.col("recv_wall") > after) & (F.col("date") >= _day(after)))
     if until is not None:
-        rows = rows.where((F.col("recv_wall") <= until) & (F.col("date") <= F.date_add(F.lit("1970-01-01").cast("date"), until // DAY)))
+        rows = rows.where((F.col("recv_wall") <= until) & (F.col("date") <= _day(until)))
     return rows.select(*columns) if columns else rows
 
 
@@ -64,20 +91,24 @@ MANIFEST = "kind string, path string, venue string, symbol string, date string,
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Live files of a JSON-lines manifest: those recorded or produced and not retired or removed since.
+    """Live files of a JSON-lines manifest, a file or a folder of files whose names are in order: those whose last
+    mention records or produces them, so that a path recorded again after its retirement is live.
 
-    A broken last line is a torn write and is left out; a broken line before it raises.
+    A broken last line of the last file is a torn write and is left out; a broken line before it raises.
     """
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
-    parsed = lines.select("at", F.from_json("value", MANIFEST, {"columnNameOfCorruptRecord": "_bad"}).alias("x"))
-    last = parsed.agg(F.max("at")).first()[0]
-    if parsed.where(F.col("x._bad").isNotNull() & (F.col("at") < F.lit(last if last is not None else 0))).limit(1).count():
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "text")).where(F.trim("text") != "")
+    parsed = files.select(F.struct("file", "line").alias("at"), F.from_json("text", MANIFEST, {"columnNameOfCorruptRecord": "_bad"}).alias("x"))
+    last = parsed.agg(F.max("at").alias("last"))
+    if parsed.where("x._bad is not null").join(F.broadcast(last), F.col("at") < F.col("last")).limit(1).count():
         raise ValueError("a line in the middle of the manifest is broken")
-    good = parsed.where("x is not null and x._bad is null").select("x.*")
+    good = parsed.where("x is not null and x._bad is null").select("at", "x.*")
     fields = ["path", "venue", "symbol", "date", "rows", "bytes", "first_recv_wall", "last_recv_wall"]
-    known = good.where("kind = 'file'").select(*fields).unionByName(good.where("kind = 'compaction'").select("produced.*"))
-    gone = good.select(F.explode(F.concat(F.coalesce("retired", F.array()), F.coalesce("removed", F.array()))).alias("path"))
-    return known.join(gone, "path", "left_anti")
+    told = lambda rows, phase, own: rows.select(F.struct("at", F.lit(phase).alias("phase")).alias("at"), own.alias("x"))
+    known = told(good.where("kind = 'file'"), 1, F.struct(*fields)).unionByName(told(good.where("kind = 'compaction'"), 1, F.struct(*[F.col(f"produced.{f}").alias(f) for f in fields])))
+    gone = good.select("at", F.explode(F.concat(F.coalesce("retired", F.array()), F.coalesce("removed", F.array()))).alias("path"))
+    mentions = known.select("at", F.col("x.path").alias("path"), "x").unionByName(gone.select(F.struct("at", F.lit(0).alias("phase")).alias("at"), "path", F.lit(None).cast(known.schema["x"].dataType).alias("x")))
+    latest = mentions.groupBy("path").agg(F.max_by(F.struct("x"), "at").alias("m"))
+    return latest.where("m.x is not null").select("m.x.*")
 
 
 def files_in_range(files: DataFrame, after: int, until: int) -> DataFrame:
