@@ -97,3 +97,37 @@ def fee(notional: Column, bps: float) -> Column:
 def slipped(price: Column, side: Column, bps: float) -> Column:
     """A price moved against the taker: up for a buy (0), down for a sell."""
     return price * F.when(side == 0, 1 + bps / 10_000).otherwise(1 - bps / 10_000)
+
+
+def parse_float(value: Column) -> Column:
+    """A double as 1e-9 units by its shortest decimal spelling, not by its binary expansion."""
+    return parse_decimal(value.cast("string"))
+
+
+def checked_sum(a: Column, b: Column) -> Column:
+    """Null, and no wrong number, where the sum passes a long."""
+    return F.try_add(a, b)
+
+
+def checked_difference(a: Column, b: Column) -> Column:
+    return F.try_subtract(a, b)
+
+
+def lossy_double(units: Column) -> Column:
+    return units.cast("double") / UNIT
+
+
+# The spellings under which venues are known.
+VENUES = {"coinbase": "coinbase", "kraken": "kraken", "okx": "okx", "bybit": "bybit", "binance-us": "binance_us", "binanceus": "binance_us", "binance_us": "binance_us", "binance": "binance_us", "bitstamp": "bitstamp"}
+
+
+def venue_of(text: Column) -> Column:
+    """The venue a spelling names, in any case; null if none."""
+    return F.coalesce(*[F.when(F.lower(text) == k, v) for k, v in VENUES.items()])
+
+
+def partition_of_path(path: Column) -> Column:
+    """``venue, symbol, date`` from the folders of an archive path; null unless all three are there."""
+    part = lambda k: F.regexp_extract(path, rf"(?:^|/){k}=([^/]+)(?:/|$)", 1)
+    venue = venue_of(part("venue"))
+    return F.when(venue.isNotNull() & (part("symbol") != "") & (part("date") != ""), F.struct(venue.alias("venue"), F.upper(part("symbol")).alias("symbol"), part("date").alias("date")))

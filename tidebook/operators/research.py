@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import imbalance, microprice_bps, midpoint
+from .book import side_sum
+
 KEYS = ["venue", "symbol"]
 ROW = [*KEYS, "t"]
 
@@ -133,3 +136,52 @@ def block_bootstrap(p: DataFrame, value: str, block: int, draws: int, seed: int)
         return pd.DataFrame([(frame["venue"].iloc[0], frame["symbol"].iloc[0], x.mean(), low, high)], columns=["venue", "symbol", "mean", "low", "high"])
 
     return p.select(*ROW, value).groupBy(*KEYS).applyInPandas(run, "venue string, symbol string, mean double, low double, high double")
+
+
+def depth_panel(books: DataFrame, step: int, depths: tuple[int, ...]) -> DataFrame:
+    """Per grid instant the last two-sided book at or before it: mid, spread, imbalance of the best 1, 5, ... levels,
+    the touch's weighted deviation, age and level counts; only steps with a message have a row.
+
+    ``books`` are messages as ``book.shown`` gives them, with as many levels as the largest of ``depths``."""
+    bid, ask = F.get("bids", F.lit(0)), F.get("asks", F.lit(0))
+    mid = midpoint(bid["price"], ask["price"])
+    seen = [imbalance(side_sum("bids", n), side_sum("asks", n)).alias(f"imb{n}") for n in depths]
+    micro = microprice_bps(*[c.cast("double") for c in (bid["price"], ask["price"], bid["qty"], ask["qty"])])
+    rows = books.where("bid_levels > 0 and ask_levels > 0").withColumn("t", F.col("recv_wall") + F.pmod(-F.col("recv_wall"), F.lit(step)))
+    told = F.struct(mid.alias("mid"), (ask["price"] - bid["price"]).alias("spread"), *seen, micro.alias("micro_dev_bps"), "recv_wall", "bid_levels", "ask_levels")
+    last = rows.groupBy(*KEYS, "t").agg(F.max_by(told, "first_ordinal").alias("x"), F.count("*").alias("msgs"), F.count_if("suspect").alias("suspect_msgs"))
+    return last.select(*ROW, "x.mid", "x.spread", *[F.round(f"x.imb{n}", 9).alias(f"imb{n}") for n in depths], F.round("x.micro_dev_bps", 6).alias("micro_dev_bps"), (F.col("t") - F.col("x.recv_wall")).alias("age_ns"), "x.bid_levels", "x.ask_levels", "msgs", "suspect_msgs")
+
+
+def usable(max_age: int):
+    """Clean, priced and fresh."""
+    return (F.col("suspect_msgs") == 0) & F.col("mid").isNotNull() & (F.col("age_ns") <= max_age)
+
+
+def lagged_target(p: DataFrame, lag: int, ahead: int) -> DataFrame:
+    """Log return in basis points from ``lag`` steps after an instant, when a decision could act, to ``ahead`` steps later."""
+    w, mid = series(), F.log(F.col("mid").cast("double"))
+    return p.select(*ROW, F.round((F.lead(mid, lag + ahead).over(w) - F.lead(mid, lag).over(w)) * 10_000, 6).alias("target_bps"))
+
+
+def round_trips(p: DataFrame, lag: int, ahead: int, fee_bps: float) -> DataFrame:
+    """Trips that don't overlap: every (lag + ahead)-th instant of a series takes the sign of the last move, enters ``lag``
+    steps on and leaves ``ahead`` later; half of both spreads and twice the fee are its cost."""
+    w = series()
+    mid, bps = F.col("mid").cast("double"), F.col("spread") / F.col("mid") * 10_000
+    rows = p.select(*ROW, (F.row_number().over(w) - 1).alias("place"), F.signum(mid - F.lag(mid).over(w)).alias("side"), (F.lead(mid, lag + ahead).over(w) / F.lead(mid, lag).over(w) - 1).alias("move"), ((F.lead(bps, lag).over(w) + F.lead(bps, lag + ahead).over(w)) / 2).alias("spreads"))
+    rows = rows.where((F.col("place") % (lag + ahead) == 0) & F.col("side").isNotNull() & F.col("move").isNotNull())
+    net = F.col("side") * F.col("move") * 10_000 - F.abs("side") * (F.col("spreads") + 2 * fee_bps)
+    return rows.groupBy(*KEYS).agg(F.count("*").alias("opportunities"), F.count_if(F.col("side") != 0).alias("round_trips"), F.round(F.sum(net), 4).alias("net_bps"))
+
+
+def costs(p: DataFrame, fee_bps: float) -> DataFrame:
+    """Median and ninetieth percentile of the spread in basis points, and what a round trip costs with an assumed fee."""
+    bps = F.col("spread") / F.col("mid") * 10_000
+    return p.where("mid is not null and suspect_msgs = 0").groupBy(*KEYS).agg(F.percentile(bps, 0.5).alias("m"), F.percentile(bps, 0.9).alias("p")).select(*KEYS, F.round("m", 6).alias("median_spread_bps"), F.round("p", 6).alias("p90_spread_bps"), F.round(F.col("m") / 2, 6).alias("half_spread_bps"), F.round(F.col("m") + 2 * fee_bps, 6).alias("round_trip_bps"))
+
+
+def paired(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The difference of two models' ``value`` on the cells that both have."""
+    both = a.select(*keys, F.col(value).alias("first")).join(b.select(*keys, F.col(value).alias("second")), keys)
+    return both.withColumn("delta", F.col("second") - F.col("first"))
