@@ -128,6 +128,28 @@ def test_topk_matches_brute_force(spark):
     assert topk.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_topk_large_products_and_odd_ids(spark):
+    rows = [("0", [1.0, -1.0]), *((str(i), [float(i), 0.0]) for i in range(1, 30)), ("90", [3e17, 1e17]), ("91", [3e17, 2e17]), ("92", [-3e300, 1e300]), ("none", [9e9, 0.0]), (None, [1.0, 1.0]), ("93", [1.0])]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>").withColumn("norm", F.lit(1)).withColumn("v", F.lit("x"))
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in topk.search(df, F.col("vec_id") == "0", k=4, block=8, queries=2, first=5).orderBy("rank").collect()]
+    assert got == [(1, 90, 2**63 - 1), (2, 91, 2**63 - 1), (3, 29, 29 * 2**20), (4, 28, 28 * 2**20)]
+    order = sorted([0, 1, -1, 255, 256, -255, -256, 2**70, -(2**70), 2**900, -(2**900)])
+    assert order == sorted(order, key=topk.sort_key) and [topk.from_key(topk.sort_key(x)) for x in order] == order
+
+
+def test_topk_sends_short_vectors_to_no_query(spark):
+    """Vectors too short for any threshold meet no query: the blocks that meet are fewer than all."""
+    rng = np.random.default_rng(8)
+    v = [(i, (rng.normal(size=8) * (50.0 if i < 100 else 0.01)).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(v, "vec_id long, embedding array<double>")
+    out = topk.search(df, F.col("vec_id") % 10 == 0, block=100, queries=50, first=128).toPandas()
+    w = np.floor(np.array([e for _, e in v]) * 1024).astype(np.int64)
+    for q in range(0, 2000, 10):
+        s = w @ w[q]
+        best = sorted((-int(x), i) for i, x in enumerate(s) if i != q)[:10]
+        assert list(out[out["query_id"] == q].sort_values("rank")["vec_id"]) == [i for _, i in best]
+
+
 def test_mixing(odd, none, docs):
     rows = mixing.mix(odd).toPandas()
     assert len(rows) == len(ROWS) and (rows["taken"] <= 3 * rows["size"]).all() and (rows["taken"] >= 0).all()
