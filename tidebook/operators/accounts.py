@@ -182,7 +182,9 @@ def rolling_checksum(events: DataFrame, order: str, value: Column, start: tuple[
         return pa.table({"chunk": [key[0].as_py()], "n": [len(x)], "a": pa.array([int(powers[-1].view(np.int64))], pa.int64()), "b": pa.array([int(b.view(np.int64))], pa.int64())})
 
     rows = events.where(F.col(order) >= start[0]).select(F.floor(F.col(order) / chunk).alias("chunk"), F.col(order).alias("place"), value.cast("bigint").alias("value"))
-    maps = rows.groupBy("chunk").applyInArrow(part, "chunk bigint, n bigint, a bigint, b bigint").repartition(1).sortWithinPartitions("chunk")
+    maps = rows.groupBy("chunk").applyInArrow(part, "chunk bigint, n bigint, a bigint, b bigint")
+    none = events.sparkSession.range(1).select(F.lit(-1).cast("bigint").alias("chunk"), F.lit(0).cast("bigint").alias("n"), F.lit(1).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"))
+    maps = maps.unionByName(none).repartition(1).sortWithinPartitions("chunk")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, c = 0, start[1]
