@@ -101,6 +101,20 @@ def test_ngram_join_matches_brute_force(docs, odd, n, percent):
             least[find(i)] = min(least.get(find(i), d), d)
     want = sorted(((d, len(s), least.get(find(i))) for i, (d, s) in enumerate(zip([r[0] for r in rows], sets, strict=True))), key=str)
     assert sorted((tuple(r) for r in ngram_join.label(df, n, percent).collect()), key=str) == want
+    if n == 3:  # no shingle known as common, and ids joined by a shuffle
+        assert sorted((tuple(r) for r in ngram_join.label(df, n, percent, common=0, broadcast_ids=0).collect()), key=str) == want
+
+
+def test_common_shingles_are_counted_exactly(docs):
+    keys, codes = ngram_join.common_shingles(docs, 3)
+    count = Counter(int(x) >> 16 for (t,) in docs.select("text").collect() for x in ngram_join.shingles(t, 3))
+    want = {k: int(math.log2(n)) for k, n in count.items() if n >= 4}
+    assert dict(zip(keys.tolist(), codes.tolist(), strict=True)) == want and want
+    few = ngram_join.common_shingles(docs, 3, most=len(want) - 1)
+    assert len(few[0]) < len(want) and min(few[1]) > 2
+    told = ngram_join.Commonness(keys, codes)
+    s = ngram_join.shingles(docs.first()["text"], 3)
+    assert told(s).tolist() == [want.get(int(x) >> 16, 0) for x in s]
 
 
 def test_keep_one_and_empty(odd, none):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.durable import materialize
+from ..plans.durable import materialize, release
 
 
 def _size(edges: DataFrame) -> tuple:
@@ -27,7 +27,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v"))).distinct()
-        e = materialize(small, "edges")
+        last, e = e, materialize(small, "edges")
+        release(last)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v").distinct())

@@ -8,6 +8,7 @@ different components to look at, so a large group of near copies costs a row per
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterable
 
@@ -18,14 +19,14 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.durable import materialize
+from ..plans.durable import materialize, release
 from .common import Rows, free_name, sliced, word_bytes
 from .components import components
 
-#: Shingle frequencies are counted in about as many buckets as there are shingles, 2^28 at most: half a byte each, they
-#: bound what is broadcast to 128 MB.
-MOST_BITS = 28
-_CHUNK = 1 << 16
+#: Shingles that all tasks know to be common, at most: the most frequent of all, nine bytes each.
+COMMON = 2_000_000
+#: log2 of the chunks that shingles are counted in, and shingles that a task counts before it sends them on.
+_CHUNK_BITS, _HELD = 10, 4_000_000
 #: Most ids of texts to verify that are broadcast, rather than joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29), np.uint64(32))
@@ -59,72 +60,129 @@ def needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
-def sketch_bits(texts: DataFrame, most: int = MOST_BITS) -> int:
-    """log2 of the buckets for these texts, at a shingle to eight characters."""
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    return max(17, min(most, int(chars // 8).bit_length()))
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.add.reduceat(n, at) if len(at) else n
 
 
-def frequencies(texts: DataFrame, words: int, bits: int) -> np.ndarray:
-    """Half a byte per bucket of the hash: log2 of how many texts' shingles fall there, rounded up, over all texts.
+def _packed(keys: np.ndarray, n: np.ndarray) -> Rows:
+    """A row per chunk of rising 48-bit keys: five bytes a difference, and the counts, nearly all ones, compressed."""
+    bits = np.uint64(48 - _CHUNK_BITS)
+    cuts = np.searchsorted(keys, np.arange((1 << _CHUNK_BITS) + 1, dtype=np.uint64) << bits)
+    for chunk in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        own = slice(cuts[chunk], cuts[chunk + 1])
+        rest = keys[own] & np.uint64((1 << int(bits)) - 1)
+        steps = np.diff(rest, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        counts = zlib.compress(n[own].astype("<u4").tobytes(), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([steps.tobytes()], pa.binary()), pa.array([counts], pa.binary())], ["chunk", "steps", "counts"])
 
-    Each task sends its own counts, sparse and compressed; a chunk of buckets is summed at a time where they meet.
+
+def common_shingles(texts: DataFrame, words: int, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, by rising 48-bit key, with log2 of how many texts hold them: all of those in at least
+    2^c texts, for the least c of 2 or more with which they are ``most`` or fewer.
+
+    Every shingle of every text is counted where its chunk of keys is summed; only the common ones are told on, so that
+    prefixes keep clear of them however much text there is.  What falls under the bar is rare, in fewer than 2^c texts.
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Rows:
-        key, n, new, size = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0
+        key, n, new, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
         def fold() -> tuple[np.ndarray, np.ndarray]:
-            fresh = np.sort(np.concatenate([np.zeros(0, np.uint32), *new]))
+            fresh = np.sort(np.concatenate([np.zeros(0, np.uint64), *new]))
             at = np.flatnonzero(np.concatenate(([True], fresh[1:] != fresh[:-1]))) if len(fresh) else np.zeros(0, np.int64)
-            k, c = np.concatenate([key, fresh[at]]), np.concatenate([n, np.diff(np.append(at, len(fresh)))])
-            order = np.argsort(k, kind="stable")
-            k, c = k[order], c[order]
-            at = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
-            return k[at], np.add.reduceat(c, at) if len(at) else c
+            return _summed(np.concatenate([key, fresh[at]]), np.concatenate([n, np.diff(np.append(at, len(fresh)))]))
 
         for b in sliced(batches):
             for t in b.column(0).to_pylist():
-                new.append((shingles(t, words) >> np.uint64(64 - bits)).astype(np.uint32))
+                new.append(shingles(t, words) >> np.uint64(16))
                 size += len(new[-1])
-                if size > 1_500_000:
+                if size > 1_000_000:
                     key, n = fold()
                     new, size = [], 0
-        key, n = fold()
-        cuts = np.searchsorted(key, np.arange(0, (1 << bits) + 1, _CHUNK))
-        for chunk in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-            own = slice(cuts[chunk], cuts[chunk + 1])
-            data = (key[own] & np.uint32(_CHUNK - 1)).astype("<u2").tobytes() + np.minimum(n[own], (1 << 32) - 1).astype("<u4").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(data, 1)], pa.binary())], ["chunk", "data"])
+                    if len(key) > _HELD:
+                        yield from _packed(key, n)
+                        key, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        yield from _packed(*fold())
 
     def add(batches: Iterable[pa.RecordBatch]) -> Rows:
-        sums: dict[int, np.ndarray] = {}
+        chunk, keys, counts = None, [], []
+
+        def told() -> Rows:
+            k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+            code = np.floor(np.log2(n)).astype(np.uint8)
+            often = code >= 2
+            k, code = k[often] | np.uint64(chunk << (48 - _CHUNK_BITS)), code[often]
+            tally = np.bincount(code, minlength=64).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array([k.astype("<u8").tobytes()], pa.binary()), pa.array([code.tobytes()], pa.binary()), pa.array([tally], pa.list_(pa.int64()))], ["keys", "codes", "tally"])
+
         for b in batches:
-            for chunk, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                raw = zlib.decompress(data.as_buffer())
-                k = len(raw) // 6
-                part = sums.setdefault(chunk, np.zeros(_CHUNK, np.uint32))
-                part[np.frombuffer(raw, "<u2", k)] += np.frombuffer(raw, "<u4", k, 2 * k)
-        for chunk, part in sums.items():
-            code = np.minimum(np.ceil(np.log2(np.maximum(part, 1))), 15).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([(code[::2] | code[1::2] << 4).tobytes()], pa.binary())], ["chunk", "data"])
-
-    kind = "chunk int, data binary"
-    got = texts.select("text").mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).toArrow()
-    out = np.zeros(1 << (bits - 1), np.uint8)
-    half = _CHUNK // 2
-    for chunk, data in zip(got["chunk"].to_pylist(), got["data"], strict=True):
-        out[chunk * half : (chunk + 1) * half] = np.frombuffer(data.as_buffer(), np.uint8)
-    return out
-
-
-def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast, bits: int) -> DataFrame:
+            for c, steps, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if c != chunk and keys:
+                    yield from told()
+                    keys, counts = [], []
+                chunk = c
+                wide = np.zeros((len(steps.as_buffer()) // 5, 8), np.uint8)
+                wide[:, :5] = np.frombuffer(steps.as_buffer(), np.uint8).reshape(-1, 5)
+                keys.append(np.cumsum(wide.view("<u8").reshape(-1), dtype=np.uint64))
+                counts.append(np.frombuffer(zlib.decompress(n.as_buffer()), "<u4").astype(np.int64))
+                if sum(map(len, keys)) > 2_000_000 and len(keys) > 1:
+                    k, m = _summed(np.concatenate(keys), np.concatenate(counts))
+                    keys, counts = [k], [m]
+        if keys:
+            yield from told()
+
+    dealt = texts.select("text").mapInArrow(count, "chunk int, steps binary, counts binary").repartition("chunk").sortWithinPartitions("chunk")
+    found = materialize(dealt.mapInArrow(add, "keys binary, codes binary, tally array<long>"), "common")
+    tally = np.zeros(64, np.int64)
+    for r in found.select(F.posexplode("tally").alias("code", "n")).groupBy("code").agg(F.sum("n").alias("n")).collect():
+        tally[r["code"]] = r["n"]
+    bar = next((c for c in range(2, 64) if tally[c:].sum() <= most), 64)
+
+    def above(batches: Iterable[pa.RecordBatch]) -> Rows:
+        for b in batches:
+            for keys, codes in zip(b.column(0), b.column(1), strict=True):
+                code = np.frombuffer(codes.as_buffer(), np.uint8)
+                kept = code >= bar
+                yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(keys.as_buffer(), "<u8")[kept].tobytes()], pa.binary()), pa.array([code[kept].tobytes()], pa.binary())], ["keys", "codes"])
+
+    got = found.select("keys", "codes").mapInArrow(above, "keys binary, codes binary").toArrow()
+    release(found)
+    keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), "<u8") for x in got["keys"])])
+    codes = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x.as_buffer(), np.uint8) for x in got["codes"])])
+    order = np.argsort(keys)
+    return keys[order], codes[order]
+
+
+class Commonness:
+    """How common shingles are: 0 for rare ones, else log2 of the texts that hold them.  A bit map answers for most."""
+
+    SHIFT = np.uint64(24)
+
+    def __init__(self, keys: np.ndarray, codes: np.ndarray):
+        self.keys, self.codes = keys, codes
+        self.seen = np.zeros(1 << 24, bool)
+        self.seen[keys >> self.SHIFT] = True
+
+    def __call__(self, shingles_: np.ndarray) -> np.ndarray:
+        key = shingles_ >> np.uint64(16)
+        out = np.zeros(len(key), np.uint8)
+        at = np.flatnonzero(self.seen[key >> self.SHIFT])
+        if len(at):
+            place = np.minimum(np.searchsorted(self.keys, key[at]), len(self.keys) - 1)
+            hit = self.keys[place] == key[at]
+            out[at[hit]] = self.codes[place[hit]]
+        return out
+
+
+def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast) -> DataFrame:
     """``rid, doc_id, n, common, set_key, prefix`` per text: the key names the set, the prefix holds its rarest
     shingles, rarest first, and ``common`` is how frequent its shingles are on the whole."""
-    shift = np.uint64(64 - bits)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
-        count = often.value
+        commonness = Commonness(*often.value)
         for b in sliced(batches):
             n, keys, rare, common = [], [], [], []
             for t in b.column(1).to_pylist():
@@ -132,8 +190,7 @@ def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast, bits:
                 n.append(len(s))
                 keys.append(hashlib.md5(s.tobytes()).digest())
                 take = prefix_length(len(s), percent) if len(s) else 0
-                at = (s >> shift).astype(np.int64)
-                code = count[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15
+                code = commonness(s)
                 common.append(float(code.mean()) if len(s) else 0.0)
                 rare.append(s[np.argsort(code, kind="stable")[:take]].view(np.int64))
             cuts = np.cumsum([0, *map(len, rare)])
@@ -145,11 +202,11 @@ def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast, bits:
     return rows.withColumn("rid", F.monotonically_increasing_id())
 
 
-def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int, broadcast_ids: int) -> DataFrame:
     """``cid, items``: the sets of the classes in ``wanted`` (column ``cid``), made again from one text of each."""
     ids = materialize(classes.join(wanted, "cid", "left_semi").select("cid", "doc_id", "set_key"), "wanted")
     named = ids.select(F.col("doc_id").alias("id")).distinct()
-    small = named.count() <= BROADCAST_IDS
+    small = named.count() <= broadcast_ids
     near = texts.join(F.broadcast(named) if small else named, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
@@ -188,47 +245,50 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def join_classes(texts: DataFrame, words: int, percent: int, most_bits: int = MOST_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def join_classes(texts: DataFrame, words: int, percent: int, common: int = COMMON, broadcast_ids: int = BROADCAST_IDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (``rid, doc_id, n, set_key``), classes (``cid, set_key, doc_id``) and roots (``node, root`` over cids).
 
     The leader of a shingle is the class whose shingles are the most frequent: in a group of near copies, the one that
     the others differ from.  Between components a pair comes up at its first common prefix shingle only, and only if
     the shingles common to both prefixes and all that follows the shorter of them can reach the overlap: a common
     shingle no later than the end of either prefix is in both, so the rest of one set bounds what is still to come.
+
+    A shingle's leader and components are grouped minima, joined back, so that a hot shingle is aggregated before it
+    moves; pairs meet by shingle and band of sizes, of which the length filter lets only neighbours meet.
     """
-    bits = sketch_bits(texts, most_bits)
-    often = texts.sparkSession.sparkContext.broadcast(frequencies(texts, words, bits))
-    rows = materialize(prefixes(texts, words, percent, often, bits), "prefixes")
+    often = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words, common))
+    rows = materialize(prefixes(texts, words, percent, often), "prefixes")
     often.destroy()  # the rows are in a table
     filled = rows.where("n > 0")
     first = filled.groupBy("set_key").agg(F.min("rid").alias("rid"))
     kept = filled.join(first.select("rid"), "rid", "left_semi")
     postings = kept.select(F.col("rid").alias("cid"), "n", "common", F.explode("prefix").alias("token"))
-    lead = Window.partitionBy("token").orderBy(F.desc("common"), "n", "cid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = postings.select("token", "cid", "n", F.count("*").over(lead).alias("m"), F.first("cid").over(lead).alias("leader"), F.first("n").over(lead).alias("leader_n"))
-    met = materialize(met.where("m > 1").drop("m"), "met")
+    lead = postings.groupBy("token").agg(F.count("*").alias("m"), F.min(F.struct((-F.col("common")).alias("x"), "n", "cid")).alias("l")).where("m > 1")
+    met = postings.join(lead, "token").select("token", "cid", "n", F.col("l.cid").alias("leader"), F.col("l.n").alias("leader_n"))
+    met = materialize(met, "met")
     classes = materialize(kept.select(F.col("rid").alias("cid"), "set_key", "doc_id"), "classes")
     like = lambda x, y: (x * 100 >= y * percent) & (y * 100 >= x * percent)
     star = materialize(met.where((F.col("cid") != F.col("leader")) & like(F.col("leader_n"), F.col("n"))).select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), "star")
     ends = lambda p: p.select(F.col("a").alias("cid")).union(p.select("b")).distinct()
-    links = verified(star, _sets(texts, classes, ends(star), words), percent)
+    links = verified(star, _sets(texts, classes, ends(star), words, broadcast_ids), percent)
     roots = materialize(components(links), "roots")
 
     part = met.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    over = Window.partitionBy("token")
-    apart = part.withColumn("mixed", F.min("root").over(over) != F.max("root").over(over)).where("mixed").select("token", "cid", "n", "root")
+    mixed = part.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
+    apart = part.join(mixed, "token").select("token", "cid", "n", "root")
     apart = materialize(apart.join(rows.select(F.col("rid").alias("cid"), "prefix"), "cid"), "apart")
-    x, y = apart.alias("x"), apart.alias("y")
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
+    x, y = apart.withColumn("band", F.explode(F.array(band, band + 1))).alias("x"), apart.withColumn("band", band).alias("y")
     first_n, second_n = F.col("x.n"), F.col("y.n")
     length = (first_n * 100 >= second_n * percent) & ((first_n < second_n) | ((first_n == second_n) & (F.col("x.cid") < F.col("y.cid"))))
     both = F.array_intersect("x.prefix", "y.prefix")
     rest = F.greatest(first_n - F.size("x.prefix"), second_n - F.size("y.prefix"))
     once = (F.get(both, F.lit(0)) == F.col("x.token")) & (F.size(both) + rest >= needed(first_n, second_n, percent))
-    more = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & length & once)
+    more = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & length & once)
     tried = star.select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("d"))
     more = more.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
     more = materialize(more.join(tried, (F.least("a", "b") == F.col("c")) & (F.greatest("a", "b") == F.col("d")), "left_anti"), "more")
-    late = verified(more, _sets(texts, classes, ends(more), words), percent)
+    late = verified(more, _sets(texts, classes, ends(more), words, broadcast_ids), percent)
     named = lambda c: (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c)
     late = late.join(*named("a"), "left").join(*named("b"), "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
     joined = components(late)
@@ -238,17 +298,18 @@ def join_classes(texts: DataFrame, words: int, percent: int, most_bits: int = MO
     return rows.select("rid", "doc_id", "n", "set_key"), classes, both.union(rest)
 
 
-def label(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id_col: str = "doc_id", most_bits: int = MOST_BITS) -> DataFrame:
+def label(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id_col: str = "doc_id", common: int = COMMON, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """Per input row ``doc_id, n_shingles, component_id``.
 
-    Sets are compared by 64-bit shingle hashes.  ``component_id`` is the least id of the rows that a row reaches by links
+    Sets are compared by 64-bit shingle hashes: two different shingles of one pair of texts of 10,000 share one with a
+    chance of some 1e-11, which could change a count by one; no link is made or lost by anything else.  ``component_id`` is the least id of the rows that a row reaches by links
     of at least ``percent`` per cent similarity, its own among them.  Null and empty texts have no shingles and link with
     nothing, so their component is their own id; texts of fewer words than a shingle link if all words are equal; repeated
     rows and repeated ids are rows of their own; a null id gives way to any other; an empty table gives no rows; other
     columns play no part.
     """
     texts = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows, classes, roots = join_classes(texts, words, percent, most_bits)
+    rows, classes, roots = join_classes(texts, words, percent, common, broadcast_ids)
     least = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     top = classes.join(least, "set_key").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("set_key", "least", F.coalesce("root", "cid").alias("root"))
     ends = top.groupBy("root").agg(F.min("least").alias("component_id"))
