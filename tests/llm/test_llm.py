@@ -106,15 +106,21 @@ def test_ngram_join_matches_brute_force(docs, odd, n, percent):
 
 
 def test_common_shingles_are_counted_exactly(docs):
-    keys, codes = ngram_join.common_shingles(docs, 3)
-    count = Counter(int(x) >> 16 for (t,) in docs.select("text").collect() for x in ngram_join.shingles(t, 3))
+    shift = int(ngram_join._KEY_SHIFT)
+    keys, codes, sketch = ngram_join.common_shingles(docs, 3)
+    bits = len(sketch).bit_length()
+    count = Counter(int(x) >> shift for (t,) in docs.select("text").collect() for x in ngram_join.shingles(t, 3))
     want = {k: int(math.log2(n)) for k, n in count.items() if n >= 4}
     assert dict(zip(keys.tolist(), codes.tolist(), strict=True)) == want and want
     few = ngram_join.common_shingles(docs, 3, most=len(want) - 1)
     assert len(few[0]) < len(want) and min(few[1]) > 2
-    told = ngram_join.Commonness(keys, codes)
+    buckets = Counter()
+    for k, n in count.items():
+        buckets[k >> 44 - bits] += n
+    told = ngram_join.Commonness(keys, codes, sketch)
     s = ngram_join.shingles(docs.first()["text"], 3)
-    assert told(s).tolist() == [want.get(int(x) >> 16, 0) for x in s]
+    key = [int(x) >> shift for x in s]
+    assert told(s).tolist() == [want[k] + 16 if k in want else min(15, math.ceil(math.log2(buckets[k >> 44 - bits]))) for k in key]
 
 
 def test_keep_one_and_empty(odd, none):

@@ -8,7 +8,6 @@ different components to look at, so a large group of near copies costs a row per
 from __future__ import annotations
 
 import hashlib
-import math
 import zlib
 from collections.abc import Iterable
 
@@ -24,9 +23,12 @@ from .common import Rows, free_name, sliced, word_bytes
 from .components import components
 
 #: Shingles that all tasks know to be common, at most: the most frequent of all, nine bytes each.
-COMMON = 2_000_000
-#: log2 of the chunks that shingles are counted in, and shingles that a task counts before it sends them on.
-_CHUNK_BITS, _HELD = 10, 4_000_000
+COMMON = 1_000_000
+#: Among all others order is by a sketch of about as many buckets as there are shingles, 2^27 at most, half a byte each.
+MOST_BITS = 27
+#: Bits of a key that shingles are counted by, log2 of the chunks of keys, and keys that a task holds before it sends them.
+_KEY_BITS, _CHUNK_BITS, _HELD = 44, 12, 4_000_000
+_KEY_SHIFT, _REST = np.uint64(64 - _KEY_BITS), np.uint64(_KEY_BITS - _CHUNK_BITS)
 #: Most ids of texts to verify that are broadcast, rather than joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29), np.uint64(32))
@@ -67,25 +69,37 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.add.reduceat(n, at) if len(at) else n
 
 
+def sketch_bits(texts: DataFrame, most: int = MOST_BITS) -> int:
+    """log2 of the buckets for these texts, at a shingle to eight characters."""
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(17, min(most, int(chars // 8).bit_length()))
+
+
 def _packed(keys: np.ndarray, n: np.ndarray) -> Rows:
-    """A row per chunk of rising 48-bit keys: five bytes a difference, and the counts, nearly all ones, compressed."""
-    bits = np.uint64(48 - _CHUNK_BITS)
-    cuts = np.searchsorted(keys, np.arange((1 << _CHUNK_BITS) + 1, dtype=np.uint64) << bits)
+    """A row per chunk of rising keys: differences of 32 bits by bytes of like weight, and the counts, nearly all ones."""
+    cuts = np.searchsorted(keys, np.arange((1 << _CHUNK_BITS) + 1, dtype=np.uint64) << _REST)
     for chunk in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
         own = slice(cuts[chunk], cuts[chunk + 1])
-        rest = keys[own] & np.uint64((1 << int(bits)) - 1)
-        steps = np.diff(rest, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-        counts = zlib.compress(n[own].astype("<u4").tobytes(), 1)
-        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([steps.tobytes()], pa.binary()), pa.array([counts], pa.binary())], ["chunk", "steps", "counts"])
+        rest = keys[own] & np.uint64((1 << int(_REST)) - 1)
+        steps = np.diff(rest, prepend=np.uint64(0)).astype("<u4").view(np.uint8).reshape(-1, 4)
+        data = [zlib.compress(x, 1) for x in (steps.T.tobytes(), n[own].astype("<u4").tobytes())]
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *(pa.array([x], pa.binary()) for x in data)], ["chunk", "steps", "counts"])
+
+
+def _unpacked(steps: pa.Scalar, counts: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(steps.as_buffer()), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").reshape(-1), dtype=np.uint64), np.frombuffer(zlib.decompress(counts.as_buffer()), "<u4").astype(np.int64)
 
 
-def common_shingles(texts: DataFrame, words: int, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, by rising 48-bit key, with log2 of how many texts hold them: all of those in at least
-    2^c texts, for the least c of 2 or more with which they are ``most`` or fewer.
+def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits: int = MOST_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent shingles by rising key, with log2 of how many texts hold them, and a sketch for all others.
 
-    Every shingle of every text is counted where its chunk of keys is summed; only the common ones are told on, so that
-    prefixes keep clear of them however much text there is.  What falls under the bar is rare, in fewer than 2^c texts.
+    The list holds all shingles that are in at least 2^c texts, for the least c of 2 or more with which they are ``most``
+    or fewer.  The sketch has half a byte per bucket of keys: log2 of how many texts' shingles fall there, rounded up.
+    Every shingle of every text is counted, where its chunk of keys is summed.  However much text there is, and however
+    full the sketch, prefixes keep clear of what the list holds.
     """
+    bits = sketch_bits(texts, most_bits)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Rows:
         key, n, new, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
@@ -97,7 +111,7 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON) -> tuple[n
 
         for b in sliced(batches):
             for t in b.column(0).to_pylist():
-                new.append(shingles(t, words) >> np.uint64(16))
+                new.append(shingles(t, words) >> _KEY_SHIFT)
                 size += len(new[-1])
                 if size > 1_000_000:
                     key, n = fold()
@@ -112,11 +126,15 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON) -> tuple[n
 
         def told() -> Rows:
             k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+            place = (k >> np.uint64(_KEY_BITS - bits)).astype(np.int64)
+            full = np.bincount(place, n, 1 << (bits - _CHUNK_BITS))
+            half = np.minimum(np.ceil(np.log2(np.maximum(full, 1))), 15).astype(np.uint8)
             code = np.floor(np.log2(n)).astype(np.uint8)
             often = code >= 2
-            k, code = k[often] | np.uint64(chunk << (48 - _CHUNK_BITS)), code[often]
+            k, code = k[often] | (np.uint64(chunk) << _REST), code[often]
             tally = np.bincount(code, minlength=64).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array([k.astype("<u8").tobytes()], pa.binary()), pa.array([code.tobytes()], pa.binary()), pa.array([tally], pa.list_(pa.int64()))], ["keys", "codes", "tally"])
+            data = [k.astype("<u8").tobytes(), code.tobytes(), (half[::2] | half[1::2] << 4).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *(pa.array([x], pa.binary()) for x in data), pa.array([tally], pa.list_(pa.int64()))], ["chunk", "keys", "codes", "sketch", "tally"])
 
         for b in batches:
             for c, steps, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
@@ -124,10 +142,8 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON) -> tuple[n
                     yield from told()
                     keys, counts = [], []
                 chunk = c
-                wide = np.zeros((len(steps.as_buffer()) // 5, 8), np.uint8)
-                wide[:, :5] = np.frombuffer(steps.as_buffer(), np.uint8).reshape(-1, 5)
-                keys.append(np.cumsum(wide.view("<u8").reshape(-1), dtype=np.uint64))
-                counts.append(np.frombuffer(zlib.decompress(n.as_buffer()), "<u4").astype(np.int64))
+                for own, x in zip((keys, counts), _unpacked(steps, n), strict=True):
+                    own.append(x)
                 if sum(map(len, keys)) > 2_000_000 and len(keys) > 1:
                     k, m = _summed(np.concatenate(keys), np.concatenate(counts))
                     keys, counts = [k], [m]
@@ -135,7 +151,7 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON) -> tuple[n
             yield from told()
 
     dealt = texts.select("text").mapInArrow(count, "chunk int, steps binary, counts binary").repartition("chunk").sortWithinPartitions("chunk")
-    found = materialize(dealt.mapInArrow(add, "keys binary, codes binary, tally array<long>"), "common")
+    found = materialize(dealt.mapInArrow(add, "chunk int, keys binary, codes binary, sketch binary, tally array<long>"), "common")
     tally = np.zeros(64, np.int64)
     for r in found.select(F.posexplode("tally").alias("code", "n")).groupBy("code").agg(F.sum("n").alias("n")).collect():
         tally[r["code"]] = r["n"]
@@ -149,31 +165,37 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON) -> tuple[n
                 yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(keys.as_buffer(), "<u8")[kept].tobytes()], pa.binary()), pa.array([code[kept].tobytes()], pa.binary())], ["keys", "codes"])
 
     got = found.select("keys", "codes").mapInArrow(above, "keys binary, codes binary").toArrow()
+    sketch = np.zeros(1 << (bits - 1), np.uint8)
+    size = 1 << (bits - 1 - _CHUNK_BITS)
+    for r in found.select("chunk", "sketch").toLocalIterator():
+        sketch[r["chunk"] * size : (r["chunk"] + 1) * size] = np.frombuffer(r["sketch"], np.uint8)
     release(found)
     keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), "<u8") for x in got["keys"])])
     codes = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x.as_buffer(), np.uint8) for x in got["codes"])])
     order = np.argsort(keys)
-    return keys[order], codes[order]
+    return keys[order], codes[order], sketch
 
 
 class Commonness:
-    """How common shingles are: 0 for rare ones, else log2 of the texts that hold them.  A bit map answers for most."""
+    """An order of shingles, rarest first: by the sketch those that the list doesn't hold, and after them those it does."""
 
-    SHIFT = np.uint64(24)
+    MAP = np.uint64(_KEY_BITS - 22)
 
-    def __init__(self, keys: np.ndarray, codes: np.ndarray):
-        self.keys, self.codes = keys, codes
-        self.seen = np.zeros(1 << 24, bool)
-        self.seen[keys >> self.SHIFT] = True
+    def __init__(self, keys: np.ndarray, codes: np.ndarray, sketch: np.ndarray):
+        self.keys, self.codes, self.sketch = keys, codes, sketch
+        self.bucket = np.uint64(_KEY_BITS - (2 * len(sketch)).bit_length() + 1)
+        self.seen = np.zeros(1 << 22, bool)
+        self.seen[keys >> self.MAP] = True
 
     def __call__(self, shingles_: np.ndarray) -> np.ndarray:
-        key = shingles_ >> np.uint64(16)
-        out = np.zeros(len(key), np.uint8)
-        at = np.flatnonzero(self.seen[key >> self.SHIFT])
+        key = shingles_ >> _KEY_SHIFT
+        at = (key >> self.bucket).astype(np.int64)
+        out = self.sketch[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15
+        at = np.flatnonzero(self.seen[key >> self.MAP])
         if len(at):
             place = np.minimum(np.searchsorted(self.keys, key[at]), len(self.keys) - 1)
             hit = self.keys[place] == key[at]
-            out[at[hit]] = self.codes[place[hit]]
+            out[at[hit]] = self.codes[place[hit]] + 16
         return out
 
 
@@ -254,7 +276,7 @@ def join_classes(texts: DataFrame, words: int, percent: int, common: int = COMMO
     shingle no later than the end of either prefix is in both, so the rest of one set bounds what is still to come.
 
     A shingle's leader and components are grouped minima, joined back, so that a hot shingle is aggregated before it
-    moves; pairs meet by shingle and band of sizes, of which the length filter lets only neighbours meet.
+    moves, and what meets by shingle are joins, whose skewed partitions adaptive execution splits.
     """
     often = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words, common))
     rows = materialize(prefixes(texts, words, percent, often), "prefixes")
@@ -277,14 +299,13 @@ def join_classes(texts: DataFrame, words: int, percent: int, common: int = COMMO
     mixed = part.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     apart = part.join(mixed, "token").select("token", "cid", "n", "root")
     apart = materialize(apart.join(rows.select(F.col("rid").alias("cid"), "prefix"), "cid"), "apart")
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
-    x, y = apart.withColumn("band", F.explode(F.array(band, band + 1))).alias("x"), apart.withColumn("band", band).alias("y")
+    x, y = apart.alias("x"), apart.alias("y")
     first_n, second_n = F.col("x.n"), F.col("y.n")
     length = (first_n * 100 >= second_n * percent) & ((first_n < second_n) | ((first_n == second_n) & (F.col("x.cid") < F.col("y.cid"))))
     both = F.array_intersect("x.prefix", "y.prefix")
     rest = F.greatest(first_n - F.size("x.prefix"), second_n - F.size("y.prefix"))
     once = (F.get(both, F.lit(0)) == F.col("x.token")) & (F.size(both) + rest >= needed(first_n, second_n, percent))
-    more = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & length & once)
+    more = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & length & once)
     tried = star.select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("d"))
     more = more.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
     more = materialize(more.join(tried, (F.least("a", "b") == F.col("c")) & (F.greatest("a", "b") == F.col("d")), "left_anti"), "more")
