@@ -24,10 +24,10 @@ from .components import components
 
 #: Shingles that all tasks know to be common, at most: the most frequent of all, nine bytes each.
 COMMON = 1_000_000
-#: Among all others order is by a sketch of about as many buckets as there are shingles, 2^27 at most, half a byte each.
-MOST_BITS = 27
+#: Among all others order is by a sketch of about as many buckets as there are shingles, 2^26 at most, half a byte each.
+MOST_BITS = 26
 #: Bits of a key that shingles are counted by, log2 of the chunks of keys, and keys that a task holds before it sends them.
-_KEY_BITS, _CHUNK_BITS, _HELD = 44, 12, 4_000_000
+_KEY_BITS, _CHUNK_BITS, _HELD = 44, 12, 1_500_000
 _KEY_SHIFT, _REST = np.uint64(64 - _KEY_BITS), np.uint64(_KEY_BITS - _CHUNK_BITS)
 #: Most ids of texts to verify that are broadcast, rather than joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -113,7 +113,7 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
             for t in b.column(0).to_pylist():
                 new.append(shingles(t, words) >> _KEY_SHIFT)
                 size += len(new[-1])
-                if size > 1_000_000:
+                if size > 500_000:
                     key, n = fold()
                     new, size = [], 0
                     if len(key) > _HELD:
