@@ -16,42 +16,52 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text of ``documents`` and the bytes that they decode to, as digests."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
 def op1_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree scores of all ``documents``, learnt from those whose crc32(doc_id) mod 7 is not 2."""
     return ctw.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of ``documents`` under links of three-word shingles at 90 per cent."""
     return ngram_join.label(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest products with every other vector, for the ``embeddings`` whose vec_id is divisible by 100."""
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each of the ``documents``, sources weighing 5, 2, 1, held at three times their size."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences and notices in every whole text of ``documents``."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text of ``documents``: the base patterns, and runs of few characters to a token."""
     return secret_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of all ``documents``, fitted on all of them without labels."""
     return quality_model.classify(table(spark, sf_dir, "documents"))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal ``conversations``, rendered; logged beginnings of longer ones are gone."""
     return chat.render(table(spark, sf_dir, "conversations"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of all ``documents``; the bar is set on ``labels``."""
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
