@@ -123,6 +123,15 @@ def test_common_shingles_are_counted_exactly(docs):
     assert told(s).tolist() == [want[k] + 16 if k in want else min(15, math.ceil(math.log2(buckets[k >> 44 - bits]))) for k in key]
 
 
+def test_counts_fold_into_those_before():
+    rng, keys, n, want = np.random.default_rng(5), np.zeros(0, np.uint64), np.zeros(0, np.uint32), Counter()
+    for size in (0, 50, 200, 0, 300):
+        fresh, more = np.unique(rng.integers(0, 400, size).astype(np.uint64), return_counts=True)
+        want.update(dict(zip(fresh.tolist(), more.tolist(), strict=True)))
+        keys, n = ngram_join._folded(keys, n, fresh, more.astype(np.uint32))
+        assert keys.tolist() == sorted(want) and n.tolist() == [want[k] for k in sorted(want)]
+
+
 def test_keep_one_and_empty(odd, none):
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns and sorted(str(r[0]) for r in kept.collect()) == ["1", "2", "3", "4", "6", "7", "None"]

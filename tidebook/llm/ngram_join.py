@@ -69,6 +69,16 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.add.reduceat(n, at) if len(at) else n
 
 
+def _folded(keys: np.ndarray, n: np.ndarray, fresh: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two rising lists of distinct keys as one, counts added; only the new keys are put in, nothing is put in order again."""
+    place = np.searchsorted(keys, fresh)
+    known = place < len(keys)
+    known[known] = keys[place[known]] == fresh[known]
+    n[place[known]] += more[known]
+    new = ~known
+    return np.insert(keys, place[new], fresh[new]), np.insert(n, place[new], more[new])
+
+
 def sketch_bits(texts: DataFrame, most: int = MOST_BITS) -> int:
     """log2 of the buckets for these texts, at a shingle to eight characters."""
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -102,12 +112,14 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
     bits = sketch_bits(texts, most_bits)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Rows:
-        key, n, new, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+        key, n, new, size = np.zeros(0, np.uint64), np.zeros(0, np.uint32), [], 0
 
         def fold() -> tuple[np.ndarray, np.ndarray]:
-            fresh = np.sort(np.concatenate([np.zeros(0, np.uint64), *new]))
+            fresh = np.concatenate([np.zeros(0, np.uint64), *new])
+            new.clear()
+            fresh.sort()
             at = np.flatnonzero(np.concatenate(([True], fresh[1:] != fresh[:-1]))) if len(fresh) else np.zeros(0, np.int64)
-            return _summed(np.concatenate([key, fresh[at]]), np.concatenate([n, np.diff(np.append(at, len(fresh)))]))
+            return _folded(key, n, fresh[at], np.diff(np.append(at, len(fresh))).astype(np.uint32))
 
         for b in sliced(batches):
             for t in b.column(0).to_pylist():
@@ -115,10 +127,10 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
                 size += len(new[-1])
                 if size > 500_000:
                     key, n = fold()
-                    new, size = [], 0
+                    size = 0
                     if len(key) > _HELD:
                         yield from _packed(key, n)
-                        key, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                        key, n = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         yield from _packed(*fold())
 
     def add(batches: Iterable[pa.RecordBatch]) -> Rows:
