@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -261,6 +262,10 @@ def test_bpe_matches_tiktoken(docs, odd, none):
     assert bpe.round_trip(none, PATH, PATTERN).count() == 0
     codec = bpe.Codec.get(bpe.tokenizer_json(bpe.read_ranks(PATH)), PATTERN)
     text = ROWS[-1][1]
+    long = "".join(f"w{i % 7919} É\n" for i in range(bpe.LONG // 6))
+    assert len(long) > bpe.LONG and codec.ids([long])[0] == own.encode_ordinary(long)
+    parts = list(bpe._texts(pa.array(["a", None, "", "b" * (1 << 19), "c"])))
+    assert parts == [["a", "", ""], ["b" * (1 << 19)], ["c"]] and list(bpe._texts(pa.array([], pa.string()))) == []
     ids, begin, end = codec.with_offsets(text)
     assert ids == own.encode_ordinary(text) and begin[0] == 0 and end[-1] == len(text) and "".join(codec.decode_parts(ids)) == text
 

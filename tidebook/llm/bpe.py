@@ -11,10 +11,11 @@ from __future__ import annotations
 import base64
 import codecs
 from collections.abc import Iterable
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ from .common import Rows, sha256_hex, sliced
 
 #: Most split pieces that a worker remembers.
 MEMO = 200_000
+#: Characters over which the pieces of a text are not held all at once.
+LONG = 1 << 19
 _loaded: dict[str, "Codec"] = {}
 
 
@@ -99,11 +102,18 @@ class Codec:
         return memo
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+        """The ids of each text as little-endian unsigned 32-bit integers.  Of a very long text few pieces are held at a time."""
+        if len(texts) == 1 and len(texts[0]) > LONG:
+            pieces = (m[0] for m in self.split.finditer(texts[0]))
+            return [b"".join(self._joined(part) for part in iter(lambda: list(islice(pieces, 1 << 16)), []))]
         split = [self.split.findall(t) for t in texts]
         memo = self._learn(set(chain.from_iterable(split)))
         return [b"".join([memo[p] for p in pieces]) for pieces in split]
 
+    def _joined(self, pieces: list[str]) -> bytes:
+        memo = self._learn(set(pieces))
+        return b"".join([memo[p] for p in pieces])
+
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [np.frombuffer(x, "<u4").tolist() for x in self.packed(texts)]
 
@@ -130,9 +140,17 @@ class Codec:
         return [*parts[:-1], parts[-1] + rest] if parts else []
 
 
-def _texts(column: pa.Array, step: int = 1000) -> Iterable[list[str]]:
-    for at in range(0, len(column), step):
-        yield [t or "" for t in column.slice(at, step).to_pylist()]
+def _texts(column: pa.Array, most: int = 100, size: int = 1 << 18) -> Iterable[list[str]]:
+    """The texts in lists of at most ``most`` and of about ``size`` bytes, so that the pieces of few are held at a time;
+    a longer text is in a list of its own."""
+    at = held = 0
+    for i, n in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
+        if i > at and (i - at == most or held + n > size):
+            yield [t or "" for t in column.slice(at, i - at).to_pylist()]
+            at, held = i, 0
+        held += n
+    if at < len(column):
+        yield [t or "" for t in column.slice(at).to_pylist()]
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
