@@ -44,12 +44,8 @@ def test_crossed_interval_holds_the_mean(spark):
     assert r["mean"] == pytest.approx(3.5) and r["low"] < 3.5 < r["high"]
 
 
-@pytest.mark.parametrize("name", ["simulated_runs", "promotion_gate", "crossed_bootstrap"])
-def test_queries_run(spark, name):
-    rows = catalog_research.queries()[name](spark, DATA).collect()
-    assert rows
-    if name == "simulated_runs":
-        assert all(r["leaks"] == 0 and r["controls_held"] for r in rows) and any(r["submitted"] for r in rows)
+def test_crossed_bootstrap_runs(spark):
+    assert catalog_research.queries()["crossed_bootstrap"](spark, DATA).collect()
 
 
 def test_clean_labels_leave_out_gaps_and_embargo(spark):
