@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctw, license_scan, mixing, ngram_join, quality_model, quality_rules, secret_scan, topk
+from . import bpe, chat, ctw, license_scan, mixing, ngram_join, quality_model, quality_rules, secret_scan, sharding, source_audit, topk, vector_codes
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,10 +65,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all ``embeddings``, a byte for each quarter, by codebooks of 256 entries trained for four rounds."""
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between all sources of a language over its terms, and the terms that a source has more of."""
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in 40 shards of nearly equal bytes, equal texts together."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    own = [op1_ctw_score, op2_ngram_jaccard, op3_exact_topk, op4_mix_sources, op5_license_scan, op6_secret_scan, op7_byte_bpe, op8_quality_classifier, op9_chat_format, op10_quality_rules]
+    own = [op1_ctw_score, op2_ngram_jaccard, op3_exact_topk, op4_mix_sources, op5_license_scan, op6_secret_scan, op7_byte_bpe, op8_quality_classifier, op9_chat_format, op10_quality_rules, op11_vector_codes, op12_source_audit, op13_minimax_shards]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_jaccard": ngram_join.ORACLE, "op3_exact_topk": topk.ORACLE, "op4_mix_sources": mixing.ORACLE, "op5_license_scan": license_scan.oracle(), "op9_chat_format": chat.ORACLE}
+    return {"op2_ngram_jaccard": ngram_join.ORACLE, "op3_exact_topk": topk.ORACLE, "op4_mix_sources": mixing.ORACLE, "op5_license_scan": license_scan.oracle(), "op9_chat_format": chat.ORACLE, "op11_vector_codes": vector_codes.ORACLE, "op12_source_audit": source_audit.ORACLE}
