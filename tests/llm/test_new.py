@@ -110,15 +110,13 @@ def plain_audit(rows, least, top):
 
 
 @pytest.mark.parametrize(("heavy", "side", "terms"), [(8, 256, 4096), (0, 3, 4), (2, 3, 4), (100, 256, 4096)])
-def test_audit_is_the_plain_one(spark, monkeypatch, heavy, side, terms):
-    monkeypatch.setattr(source_audit, "SIDE", side)
-    monkeypatch.setattr(source_audit, "TERMS", terms)
+def test_audit_is_the_plain_one(spark, heavy, side, terms):
     rng = random.Random(7)
     words = [f"{a}{b}" for a in "abcdeÄéß𝒳" for b in ("", "x", "YZ")]
     rows = [(" ".join(rng.choices(words, [1 / (i + 1) for i in range(len(words))], k=rng.randint(0, 30))), rng.choice(["de", "en"]), f"s{min(rng.randint(0, 15), rng.randint(0, 15))}") for _ in range(150)]
     rows += [(None, "de", None), ("", "xx", "a"), ("a1b-c", "xx", "b"), ("Ax aX", None, "only"), ("ß", "de", "𝒳"), ("ß", "de", "￿"), (LONG, "de", "s1")] + [("a b", "de", "s1")] * 3
     df = spark.createDataFrame(rows, "text string, lang string, source string").withColumn("term", F.lit(1)).withColumn("n", F.lit("x")).repartition(3)
-    got = source_audit.audit(df, least_docs=4, top=5, heavy=heavy)
+    got = source_audit.audit(df, least_docs=4, top=5, heavy=heavy, side=side, tile_terms=terms)
     assert sorted(map(tuple, got.select("lang", "source", "part", "item", "value", "rank").collect())) == plain_audit(rows, 4, 5)
     assert source_audit.audit(df.limit(0)).count() == 0
 

@@ -37,7 +37,7 @@ def term_counts(df: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.sum("t.n").alias("n"), F.sum("t.docs").alias("docs"))
 
 
-def _tile(t: pa.Table) -> pa.Table:
+def tile(t: pa.Table, side: int) -> pa.Table:
     """Distances over the terms of a tile: a row without a term gives what a source has of a term that it lacks."""
     g, p = (t.column(c).to_numpy() for c in ("g", "p"))
     lang, left, right = (t.column(c)[0].as_py() for c in ("lang", "left", "right"))
@@ -48,8 +48,8 @@ def _tile(t: pa.Table) -> pa.Table:
     dense[np.searchsorted(ids, g[base])] = p[base][:, None]
     dense[np.searchsorted(ids, g[~base]), place[~base]] = p[~base]
     out = []
-    for i in np.flatnonzero(ids // SIDE == left):
-        others = np.flatnonzero((ids // SIDE == right) & (ids > ids[i]))
+    for i in np.flatnonzero(ids // side == left):
+        others = np.flatnonzero((ids // side == right) & (ids > ids[i]))
         for at in range(0, len(others), 64):
             j = others[at : at + 64]
             out.append(np.stack([np.full(len(j), ids[i]), ids[j], np.abs(dense[j] - dense[i]).sum(1)], 1))
@@ -57,21 +57,21 @@ def _tile(t: pa.Table) -> pa.Table:
     return pa.table({"lang": pa.array([lang] * len(rows), pa.string()), "g": pa.array(rows[:, 0]), "h": pa.array(rows[:, 1]), "value": pa.array(rows[:, 2])})
 
 
-def heavy_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
+def heavy_pairs(postings: DataFrame, groups: DataFrame, side: int = SIDE, terms: int = TERMS) -> DataFrame:
     """``lang, g, h, value`` with g < h, a row per tile, over heavy postings ``lang, term, g, p``.
 
-    A tile is a block of terms and a pair of blocks of sources; up to ``SIDE`` sources that is each posting once.
+    A tile is a block of terms and a pair of blocks of sources; up to ``side`` sources that is each posting once.
     """
     names = postings.select("lang", "term").distinct()
-    blocks = names.groupBy("lang").agg(F.ceil(F.count("*") / TERMS).cast("int").alias("blocks"))
-    sides = groups.groupBy("lang").agg(F.floor(F.max("g") / SIDE).alias("last"))
+    blocks = names.groupBy("lang").agg(F.ceil(F.count("*") / terms).cast("int").alias("blocks"))
+    sides = groups.groupBy("lang").agg(F.floor(F.max("g") / side).alias("last"))
     placed = postings.join(blocks, "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
     lacking = groups.join(blocks, "lang").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = placed.select("lang", "block", "g", "term", "p").unionByName(lacking.select("lang", "block", "g", F.lit(None).cast("string").alias("term"), F.col("z").alias("p")))
-    own = F.floor(F.col("g") / SIDE)
+    own = F.floor(F.col("g") / side)
     rows = rows.join(sides, "lang").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
     rows = rows.select("lang", "block", F.least(own, "other").alias("left"), F.greatest(own, "other").alias("right"), "g", "term", "p")
-    return rows.groupBy("lang", "block", "left", "right").applyInArrow(_tile, "lang string, g long, h long, value long")
+    return rows.groupBy("lang", "block", "left", "right").applyInArrow(lambda t: tile(t, side), "lang string, g long, h long, value long")
 
 
 def light_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def light_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
     return base.unionByName(own.withColumnsRenamed({"a": "g", "b": "h"})).unionByName(both)
 
 
-def audit(df: DataFrame, least_docs: int = 30, prior: int = 5, top: int = 50, heavy: int = HEAVY, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+def audit(df: DataFrame, least_docs: int = 30, prior: int = 5, top: int = 50, heavy: int = HEAVY, side: int = SIDE, tile_terms: int = TERMS, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``lang, source, part, item, value, rank``: each source's distance to every other one of its language (``pair``),
     and the ``top`` terms that it has more of than the language (``term``).
 
@@ -120,7 +120,7 @@ def audit(df: DataFrame, least_docs: int = 30, prior: int = 5, top: int = 50, he
     terms = over.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
 
     none = numbered_pairs(groups)
-    pairs = none.unionByName(light_pairs(postings.where(F.col("spread") <= heavy), groups)).unionByName(heavy_pairs(postings.where(F.col("spread") > heavy), groups))
+    pairs = none.unionByName(light_pairs(postings.where(F.col("spread") <= heavy), groups)).unionByName(heavy_pairs(postings.where(F.col("spread") > heavy), groups, side, tile_terms))
     pairs = pairs.groupBy("lang", "g", "h").agg(F.sum("value").alias("value"))
     pairs = pairs.select("lang", F.explode(F.array(F.struct(F.col("g"), F.col("h")), F.struct(F.col("h").alias("g"), F.col("g").alias("h")))).alias("e"), "value").select("lang", "e.g", "e.h", "value")
     named = pairs.join(groups.select("lang", "g", "source"), ["lang", "g"]).join(groups.select("lang", F.col("g").alias("h"), F.col("source").alias("item")), ["lang", "h"])

@@ -134,8 +134,8 @@ def _oracle(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
     """DuckDB SQL: a step for each round, as a table of parts and one of entries."""
     steps = [
         f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, * FROM (
-  SELECT vec_id, label, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)),
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
 x AS MATERIALIZED (SELECT r, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS v FROM kept, range({parts}) AS t(p)),
 b0 AS MATERIALIZED (SELECT p, (r - 1)::BIGINT AS e, v FROM x WHERE r <= {entries})"""
     ]
@@ -151,7 +151,7 @@ b0 AS MATERIALIZED (SELECT p, (r - 1)::BIGINT AS e, v FROM x WHERE r <= {entries
     SELECT p, e, i, sum(y) AS s, count(*) AS c FROM (
       SELECT x.p, a.m.e AS e, unnest(x.v) AS y, generate_subscripts(x.v, 1) AS i FROM x JOIN a{i} a ON x.r = a.r AND x.p = a.p) GROUP BY p, e, i) GROUP BY p, e) n USING (p, e))"""
             )
-    last = f"""h AS (SELECT sha256(string_agg(array_to_string(list_transform(v, y -> y::BIGINT::VARCHAR), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}),
+    last = f"""h AS (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda y: y::BIGINT::VARCHAR), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}),
 c AS (SELECT r, string_agg(lpad(lower(to_hex(m.e)), 2, '0'), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY r)
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN c USING (r), h"""
     return ",\n".join([*steps, last])
