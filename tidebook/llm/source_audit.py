@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,21 +39,24 @@ def term_counts(df: DataFrame) -> DataFrame:
 
 
 def tile(t: pa.Table, side: int) -> pa.Table:
-    """Distances over the terms of a tile: a row without a term gives what a source has of a term that it lacks."""
+    """Distances over the terms of a tile: a row without a term gives what a source has of a term that it lacks, and how
+    many terms there are, also those that no source of the tile has."""
     g, p = (t.column(c).to_numpy() for c in ("g", "p"))
     lang, left, right = (t.column(c)[0].as_py() for c in ("lang", "left", "right"))
     terms = t.column("term").combine_chunks().dictionary_encode()
     base, place = terms.indices.is_null().to_numpy(zero_copy_only=False), terms.indices.fill_null(-1).to_numpy()
     ids = np.sort(g[base])
-    dense = np.empty((len(ids), len(terms.dictionary)), np.int64)
-    dense[np.searchsorted(ids, g[base])] = p[base][:, None]
+    lacks = np.empty(len(ids), np.int64)
+    lacks[np.searchsorted(ids, g[base])] = p[base]
+    unseen = pc.max(t.column("names")).as_py() - len(terms.dictionary)
+    dense = np.repeat(lacks[:, None], len(terms.dictionary), 1)
     dense[np.searchsorted(ids, g[~base]), place[~base]] = p[~base]
     out = []
     for i in np.flatnonzero(ids // side == left):
         others = np.flatnonzero((ids // side == right) & (ids > ids[i]))
         for at in range(0, len(others), 64):
             j = others[at : at + 64]
-            out.append(np.stack([np.full(len(j), ids[i]), ids[j], np.abs(dense[j] - dense[i]).sum(1)], 1))
+            out.append(np.stack([np.full(len(j), ids[i]), ids[j], np.abs(dense[j] - dense[i]).sum(1) + unseen * np.abs(lacks[j] - lacks[i])], 1))
     rows = np.concatenate(out) if out else np.empty((0, 3), np.int64)
     return pa.table({"lang": pa.array([lang] * len(rows), pa.string()), "g": pa.array(rows[:, 0]), "h": pa.array(rows[:, 1]), "value": pa.array(rows[:, 2])})
 
@@ -64,13 +68,15 @@ def heavy_pairs(postings: DataFrame, groups: DataFrame, side: int = SIDE, terms:
     """
     names = postings.select("lang", "term").distinct()
     blocks = names.groupBy("lang").agg(F.ceil(F.count("*") / terms).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block")
+    sizes = names.join(blocks, "lang").groupBy("lang", block).agg(F.count("*").alias("names"))
     sides = groups.groupBy("lang").agg(F.floor(F.max("g") / side).alias("last"))
-    placed = postings.join(blocks, "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
-    lacking = groups.join(blocks, "lang").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = placed.select("lang", "block", "g", "term", "p").unionByName(lacking.select("lang", "block", "g", F.lit(None).cast("string").alias("term"), F.col("z").alias("p")))
+    placed = postings.join(blocks, "lang").select("lang", block, "g", "term", "p", F.lit(None).cast("long").alias("names"))
+    lacking = groups.join(sizes, "lang").select("lang", "block", "g", F.lit(None).cast("string").alias("term"), F.col("z").alias("p"), "names")
+    rows = placed.unionByName(lacking)
     own = F.floor(F.col("g") / side)
     rows = rows.join(sides, "lang").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
-    rows = rows.select("lang", "block", F.least(own, "other").alias("left"), F.greatest(own, "other").alias("right"), "g", "term", "p")
+    rows = rows.select("lang", "block", F.least(own, "other").alias("left"), F.greatest(own, "other").alias("right"), "g", "term", "p", "names")
     return rows.groupBy("lang", "block", "left", "right").applyInArrow(lambda t: tile(t, side), "lang string, g long, h long, value long")
 
 
