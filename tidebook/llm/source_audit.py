@@ -7,6 +7,8 @@ that only the terms a source has, and those that two have in common, correct a b
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,14 +16,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.durable import materialize
+from .common import Rows, sliced
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bytes of a term: letters, of which A-Z become a-z, and all of what isn't ASCII; every other byte parts terms.
+LETTERS = bytes(c if c > 0x7F or chr(c).isalpha() else 0x20 for c in bytes(range(256)).lower())
 UNIT = 1_000_000_000
 #: A term that more sources of a language than this have is heavy.
 HEAVY = 8
-#: Sources along a side of a tile, and terms in it: 8 MB for each side.
-SIDE, TERMS = 256, 4_096
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Sources along a side of a tile, and terms in it: 1 MB for each side.
+SIDE, TERMS = 256, 512
+#: Terms that a task counts before it hands them on, and rows of a table that is sent to all tasks.
+HELD, FEW = 200_000, 100_000
 
 
 def share(count: Column, prior: int) -> Column:
@@ -30,12 +35,39 @@ def share(count: Column, prior: int) -> Column:
     return F.call_function("div", top, F.nullif(F.col("n_all") + F.col("vocabulary") * prior, F.lit(0)).cast("decimal(22,0)")) + 1
 
 
-def term_counts(df: DataFrame) -> DataFrame:
-    """``lang, source, term, n, docs``: a shuffle of sums per partition, of a row per term and per different term of a text."""
-    terms = df.withColumn("terms", F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(TERM), F.lit(0)))
-    seen = lambda c, n, d: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(n).cast("long").alias("n"), F.lit(d).cast("long").alias("docs")))
-    rows = terms.select("lang", "source", F.explode(F.concat(seen(F.col("terms"), 1, 0), seen(F.array_distinct("terms"), 0, 1))).alias("t"))
-    return rows.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.sum("t.n").alias("n"), F.sum("t.docs").alias("docs"))
+def term_counts(docs: DataFrame) -> DataFrame:
+    """``lang, source, term, n, docs``: counted in tasks, in tables of at most about ``HELD`` terms, and grouped once."""
+
+    def count(batches: Rows) -> Rows:
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        size = 0
+        for b in sliced(batches):
+            for text, lang, source in zip(*(b.column(c) for c in ("text", "lang", "source")), strict=True):
+                terms = text.as_py().encode("utf-8", "surrogatepass").translate(LETTERS).split()
+                n, seen = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
+                before = len(n)
+                n.update(terms)
+                seen.update(set(terms))
+                size += len(n) - before
+                if size > HELD:
+                    yield from _counted(held)
+                    held, size = {}, 0
+        yield from _counted(held)
+
+    found = docs.mapInArrow(count, "lang string, source string, term string, n long, docs long")
+    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def _counted(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Rows:
+    for (lang, source), (n, seen) in held.items():
+        terms = list(n)
+        columns = [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([seen[t] for t in terms], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
+
+
+def few(df: DataFrame) -> DataFrame:
+    """A table to join by, sent to all tasks if it is counted to be small, so that no language's rows go to one task."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
 
 
 def tile(t: pa.Table, side: int) -> pa.Table:
@@ -68,6 +100,7 @@ def heavy_pairs(postings: DataFrame, groups: DataFrame, side: int = SIDE, terms:
     """
     names = postings.select("lang", "term").distinct()
     blocks = names.groupBy("lang").agg(F.ceil(F.count("*") / terms).cast("int").alias("blocks"))
+    blocks = few(materialize(blocks, "blocks"))
     block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block")
     sizes = names.join(blocks, "lang").groupBy("lang", block).agg(F.count("*").alias("names"))
     sides = groups.groupBy("lang").agg(F.floor(F.max("g") / side).alias("last"))
@@ -75,7 +108,7 @@ def heavy_pairs(postings: DataFrame, groups: DataFrame, side: int = SIDE, terms:
     lacking = groups.join(sizes, "lang").select("lang", "block", "g", F.lit(None).cast("string").alias("term"), F.col("z").alias("p"), "names")
     rows = placed.unionByName(lacking)
     own = F.floor(F.col("g") / side)
-    rows = rows.join(sides, "lang").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
+    rows = rows.join(few(sides), "lang").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
     rows = rows.select("lang", "block", F.least(own, "other").alias("left"), F.greatest(own, "other").alias("right"), "g", "term", "p", "names")
     return rows.groupBy("lang", "block", "left", "right").applyInArrow(lambda t: tile(t, side), "lang string, g long, h long, value long")
 
@@ -88,7 +121,7 @@ def light_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
     """
     light = postings.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("light"))
     one = groups.select("lang", F.col("g"), F.col("z"))
-    two = groups.select("lang", F.col("g").alias("h"), F.col("z").alias("y"))
+    two = few(groups.select("lang", F.col("g").alias("h"), F.col("z").alias("y")))
     apart = lambda a, b: F.abs(F.col(a) - F.col(b))
     base = one.join(two, "lang").where("g < h").join(light, "lang").select("lang", "g", "h", (apart("z", "y") * F.col("light")).alias("value"))
     often = postings.groupBy("lang", "g", "z", "p").agg(F.count("*").alias("often"))
@@ -112,13 +145,14 @@ def audit(df: DataFrame, least_docs: int = 30, prior: int = 5, top: int = 50, he
     counts = materialize(term_counts(docs), "terms")
     kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_count"), F.sum("docs").alias("lang_docs"), F.count("*").alias("spread")).where(F.col("lang_docs") >= least_docs)
     langs = kept.groupBy("lang").agg(F.count("*").alias("vocabulary"), F.sum("lang_count").alias("n_all"))
+    langs = few(materialize(langs, "langs"))
     found = counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_count", "spread")
     found = materialize(found, "kept")
     numbered = docs.select("lang", "source").distinct().withColumn("g", (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long"))
     sums = found.groupBy("lang", "source").agg(F.sum("n").alias("n_all"))
     groups = numbered.join(sums, ["lang", "source"], "left").join(langs.select("lang", "vocabulary"), "lang", "left").fillna(0, ["n_all", "vocabulary"])
     groups = materialize(groups.withColumn("z", share(F.lit(0).cast("long"), prior)), "groups")
-    postings = found.join(groups, ["lang", "source"]).withColumn("p", share(F.col("n"), prior))
+    postings = found.join(few(groups), ["lang", "source"]).withColumn("p", share(F.col("n"), prior))
     postings = materialize(postings.select("lang", "source", "term", "g", "z", "p", "lang_count", "spread"), "shares")
 
     over = postings.join(langs, "lang").withColumn("value", F.col("p") - share(F.col("lang_count"), prior)).where("value > 0")
@@ -129,7 +163,7 @@ def audit(df: DataFrame, least_docs: int = 30, prior: int = 5, top: int = 50, he
     pairs = none.unionByName(light_pairs(postings.where(F.col("spread") <= heavy), groups)).unionByName(heavy_pairs(postings.where(F.col("spread") > heavy), groups, side, tile_terms))
     pairs = pairs.groupBy("lang", "g", "h").agg(F.sum("value").alias("value"))
     pairs = pairs.select("lang", F.explode(F.array(F.struct(F.col("g"), F.col("h")), F.struct(F.col("h").alias("g"), F.col("g").alias("h")))).alias("e"), "value").select("lang", "e.g", "e.h", "value")
-    named = pairs.join(groups.select("lang", "g", "source"), ["lang", "g"]).join(groups.select("lang", F.col("g").alias("h"), F.col("source").alias("item")), ["lang", "h"])
+    named = pairs.join(few(groups.select("lang", "g", "source")), ["lang", "g"]).join(few(groups.select("lang", F.col("g").alias("h"), F.col("source").alias("item"))), ["lang", "h"])
     farthest = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     return named.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(farthest).alias("rank")).unionByName(terms)
 
