@@ -176,9 +176,10 @@ def online_latest(spark, sf_dir):
     return pit.latest(pit.observations(tape.recorded(spark, sf_dir)), AT, HOUR)
 
 
-_FEATURES = """SELECT venue, symbol, CAST(venue_ts - venue_ts % 600000000000 AS BIGINT) AS window_start, count(*) AS rows, count(*) FILTER (qty = 0) AS removals, count(*) FILTER (side = 0) AS bid_rows,
-  count(*) FILTER (suspect) AS suspect_rows, CAST(sum(qty) AS BIGINT) AS qty_sum, min(price) FILTER (qty > 0) AS price_min, max(price) FILTER (qty > 0) AS price_max,
-  min(row_ordinal) AS first_ordinal, max(row_ordinal) AS last_ordinal, max(recv_wall) AS availability_max FROM tape WHERE venue_ts IS NOT NULL GROUP BY ALL"""
+_FIGURES = """count(*) AS rows, count(*) FILTER (side = 0) AS bid_updates, count(*) FILTER (side = 1) AS ask_updates, count(*) FILTER (qty = 0) AS removals, count(*) FILTER (event = 0) AS snapshot_rows, count(*) FILTER (suspect) AS suspect_rows,
+  CAST(sum(qty) AS BIGINT) AS qty_sum, count(qty) AS qty_known, min(price) AS price_min, max(price) AS price_max, min(venue_ts) AS event_time_min, max(venue_ts) AS event_time_max, min(recv_wall) AS availability_min, max(recv_wall) AS availability_max,
+  min(row_ordinal) AS ordinal_min, max(row_ordinal) AS ordinal_max, min(abs(recv_wall - venue_ts)) AS skew_ns_min, max(abs(recv_wall - venue_ts)) AS skew_ns_max"""
+_FEATURES = f"SELECT venue, symbol, CAST(venue_ts - venue_ts % 600000000000 AS BIGINT) AS window_start, {_FIGURES} FROM tape WHERE venue_ts IS NOT NULL GROUP BY ALL"
 
 
 @query(_BASE + " " + _FEATURES)

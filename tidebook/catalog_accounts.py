@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .catalog import _BASE, _OBS, _PANEL, _REV, _SEQ, AT, HOUR, KEYS, START, _numbered, _probed, _revisions, panel, rows
+from .catalog import _BASE, _FIGURES, _OBS, _PANEL, _REV, _SEQ, AT, HOUR, KEYS, START, _numbered, _probed, _revisions, panel, rows
 from .functions import expr
 from .operators import accounts, book, research, trust
 from .plans import running
@@ -54,10 +54,8 @@ def unattributed_volume(spark, sf_dir):
 
 
 @query(_BASE + f""", w AS (SELECT *, {_TRADED} AS traded, venue_ts - venue_ts % 10000000000 AS window_start FROM r WHERE venue_ts IS NOT NULL)
-SELECT venue, symbol, window_start, window_start + 10000000000 AS window_end, count(*) AS updates, count(*) FILTER (side = 0) AS bid_updates, count(*) FILTER (side = 1) AS ask_updates, count(*) FILTER (qty = 0) AS removals, count(*) FILTER (event = 0) AS snapshot_rows,
-  count(*) FILTER (suspect) AS suspect_rows, min(price) AS price_min, max(price) AS price_max, CAST(sum(qty) AS BIGINT) AS qty_sum, CAST(sum(traded) AS BIGINT) AS traded_qty_sum, count(traded) AS traded_qty_known, max(abs(recv_wall - venue_ts)) AS max_abs_skew_ns,
-  min(epoch) AS min_epoch, max(epoch) AS max_epoch, min(venue_ts) AS event_time_min, max(venue_ts) AS event_time_max, min(recv_wall) AS availability_min, max(recv_wall) AS availability_max, max(CASE WHEN row_ordinal % 100 = 0 THEN 2 ELSE 1 END) AS max_schema_version,
-  count(*) FILTER (row_ordinal % 50 = 0) AS unknown_field_rows FROM w GROUP BY venue, symbol, window_start""")
+SELECT venue, symbol, window_start, window_start + 10000000000 AS window_end, {_FIGURES}, count(*) FILTER (row_ordinal % 50 = 0) AS unknown_field_rows, CAST(sum(traded) AS BIGINT) AS traded_sum, count(traded) AS traded_known,
+  min(epoch) AS epoch_min, max(epoch) AS epoch_max, min(CASE WHEN row_ordinal % 100 = 0 THEN 2 ELSE 1 END) AS schema_version_min, max(CASE WHEN row_ordinal % 100 = 0 THEN 2 ELSE 1 END) AS schema_version_max FROM w GROUP BY venue, symbol, window_start""")
 def window_features_10s(spark, sf_dir):
     return features.windowed(_topic(spark, sf_dir), 10_000_000_000)
 

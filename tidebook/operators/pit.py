@@ -21,15 +21,16 @@ def as_of(observed: DataFrame, probes: DataFrame, ttl: int, clock: str = "availa
     """Per probe (``entity, as_of``) the eligible observation that arrived last, and its verdict.
 
     Eligible is ``clock <= as_of``; the winner is by arrival, not by clock, since clocks step back.  A running maximum
-    within chunks of time and a running maximum over the chunks' maxima make one entity many tasks' work.
+    within chunks of time and a running maximum over the chunks' maxima make one entity many tasks' work.  A null entity
+    is one like others; a probe without an instant sees nothing.
     """
     seen = observed.where(F.col(clock).isNotNull()).select("entity", F.col(clock).alias("at"), F.lit(0).alias("probe"), F.struct("arrival", "value", "event_time", "available_at").alias("o"))
     asked = probes.select("entity", F.col("as_of").alias("at"), F.lit(1).alias("probe"), F.lit(None).cast(seen.schema["o"].dataType).alias("o"))
     both = seen.unionByName(asked).withColumn("chunk", F.col("at") - F.pmod("at", F.lit(chunk)))
     tops = both.groupBy("entity", "chunk").agg(F.max("o").alias("top"))
-    earlier = tops.select("entity", "chunk", F.max("top").over(Window.partitionBy("entity").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))
+    earlier = tops.select(F.col("entity").alias("of"), F.col("chunk").alias("in"), F.max("top").over(Window.partitionBy("entity").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))
     within = Window.partitionBy("entity", "chunk").orderBy("at", "probe").rowsBetween(Window.unboundedPreceding, 0)
-    won = both.withColumn("here", F.max("o").over(within)).where("probe = 1").join(earlier, ["entity", "chunk"]).withColumn("w", F.greatest("here", "earlier"))
+    won = both.withColumn("here", F.max("o").over(within)).where("probe = 1").join(earlier, F.col("entity").eqNullSafe(F.col("of")) & F.col("chunk").eqNullSafe(F.col("in"))).withColumn("w", F.greatest("here", "earlier"))
     return won.select("entity", F.col("at").alias("as_of"), F.col("w.value").alias("value"), F.col("w.arrival").alias("arrival"), freshness(F.col("at"), F.col("w.event_time"), F.col("w.arrival"), ttl).alias("freshness"))
 
 

@@ -6,6 +6,9 @@ chunks carries the parts on, and rows meet what was carried to their chunk: a se
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ def before(df: DataFrame, keys: list[str], order: str | list[str], width: int =
     """Adds for each name the value over the rows of ``keys`` that come before in ``order``: whole numbers without ties,
     of which the first is cut into chunks of ``width``.
 
+    Null keys are series like any other, and nulls in ``order`` come first, as they do in a window.
+
     ``max`` and ``sum`` pass nulls over and are null if there was nothing; ``last`` is the last value that is not null;
     ``lag`` is that of the row just before, null or not.  For what comes after, order by the negated number.
     """
@@ -36,7 +41,9 @@ def before(df: DataFrame, keys: list[str], order: str | list[str], width: int =
     carried = held.groupBy(*keys, "__chunk").agg(*parts).select(*keys, "__chunk", *[over[k](F.col(f"__p_{n}")).over(chunks).alias(f"__c_{n}") for n, k in kinds.items()])
     within = Window.partitionBy(*keys, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     own = held.withColumns({f"__w_{n}": over[k](at(n)).over(within) for n, k in kinds.items()})
-    both = own.join(carried, [*keys, "__chunk"])
+    same = [*keys, "__chunk"]
+    carried = carried.select(*[F.col(k).alias(f"__of_{k}") for k in same], *[f"__c_{n}" for n in kinds])
+    both = own.join(carried, reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in same]))
 
     def joined(n: str, k: str) -> Column:
         here, past = F.col(f"__w_{n}"), F.col(f"__c_{n}")
