@@ -46,7 +46,7 @@ def folds(rows: DataFrame, features: list[str], target: str, purge: int, least:
     """``rows``: keys, ``day``, ``t``, features and target, all finite.  A fold for each day but the first trains on all
     days before, without the last ``purge`` rows of each, whose targets reach past it; folds with fewer than ``least``
     rows on either side are absent.  Per fold: rows, R2 against zero, the trailing-mean R2 of the training target, share
-    of feature values held to the training range, the mean gain of taking the forecast's sign, and the columns kept."""
+    of feature values held to the training range, the mean gain of taking the forecast's sign, both sums of squares, and the columns kept."""
     names = [*features, target]
     k = len(features)
     day = Window.partitionBy(*KEYS, "day").orderBy(F.desc("t"))
@@ -86,7 +86,7 @@ def folds(rows: DataFrame, features: list[str], target: str, purge: int, least:
     done = own.groupBy(*KEYS, "day").agg(
         F.first("n_train").alias("n_train"), F.count("*").alias("n_test"), (1 - F.try_divide(F.sum((y - p) * (y - p)), F.sum(y * y))).alias("r2_zero"),
         (1 - F.try_divide(F.sum((y - F.col("base")) * (y - F.col("base"))), F.sum(y * y))).alias("r2_mean"), F.coalesce(F.try_divide(F.sum("clipped"), F.sum(F.size("u"))), F.lit(0.0)).alias("clipped"),
-        F.avg(F.signum(p) * y).alias("edge"), F.first("kept").alias("kept"))
+        F.avg(F.signum(p) * y).alias("edge"), F.sum((y - p) * (y - p)).alias("sse"), F.sum(y * y).alias("syy"), F.first("kept").alias("kept"))
     return done.where(F.col("n_test") >= least)
 
 
