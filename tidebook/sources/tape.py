@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import DAY, UNIT, utc_date
 from ..plans.durable import scratch_path
+from . import footers
 
 MICRO = 1_000
 KEYS = ["venue", "symbol"]
@@ -82,9 +83,8 @@ def compact(spark: SparkSession, root: str, out: str) -> None:
 
 
 def file_table(spark: SparkSession, root: str) -> DataFrame:
-    """What a manifest says of each file: path, partition, rows and first and last receipt."""
-    rows = spark.read.parquet(root)
-    return rows.groupBy(F.input_file_name().alias("path"), "venue", "symbol", "date").agg(F.count("*").alias("rows"), F.min("recv_wall").alias("first_recv_wall"), F.max("recv_wall").alias("last_recv_wall"))
+    """What a manifest says of each file, from the footers: path below the root, partition, rows, bytes, first and last receipt."""
+    return footers.file_table(footers.footers(footers.listed(spark, root), root))
 
 
 MANIFEST = "kind string, path string, venue string, symbol string, date string, rows bigint, bytes bigint, first_recv_wall bigint, last_recv_wall bigint, retired array<string>, removed array<string>, produced struct<path:string,venue:string,symbol:string,date:string,rows:bigint,bytes:bigint,first_recv_wall:bigint,last_recv_wall:bigint>, _bad string"
