@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from .common import Rows, sha256_hex, sliced
+from .common import Rows, give_back, sha256_hex, sliced, tidied
 
 #: Most split pieces that a worker remembers.
 MEMO = 200_000
@@ -84,6 +84,7 @@ class Codec:
         if key not in _loaded:
             _loaded.clear()
             _loaded[key] = Codec(spec, pattern)
+            give_back()  # what reading the merges took
         return _loaded[key]
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
@@ -168,7 +169,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_
             yield pa.RecordBatch.from_arrays([b.column(0), *own], ["row_id", "ids", "char_begin", "char_end"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(f"`{id_col}`").alias("row_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"row_id {kind}, ids array<int>, char_begin array<int>, char_end array<int>")
+    return df.select(F.col(f"`{id_col}`").alias("row_id"), F.col(f"`{text}`").alias("text")).mapInArrow(tidied(run), f"row_id {kind}, ids array<int>, char_begin array<int>, char_end array<int>")
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", id_col: str = "row_id") -> DataFrame:
@@ -182,7 +183,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", id_col: str = "row_
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()), pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())], ["row_id", "bytes", "text"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(f"`{id_col}`").alias("row_id"), F.col(f"`{ids}`").alias("ids")).mapInArrow(run, f"row_id {kind}, bytes binary, text string")
+    return df.select(F.col(f"`{id_col}`").alias("row_id"), F.col(f"`{ids}`").alias("ids")).mapInArrow(tidied(run), f"row_id {kind}, bytes binary, text string")
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -203,7 +204,8 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                     own.append(sha256_hex(packed))
                     back.append(sha256_hex(codec.decode(np.frombuffer(packed, "<u4").tolist())))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            give_back()
         codec.memo.clear()
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(tidied(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.durable import materialize, release
-from .common import Rows, free_name, sliced, word_bytes
+from .common import Rows, free_name, sliced, tidied, word_bytes
 from .components import components
 
 #: Shingles that all tasks know to be common, at most: the most frequent of all, nine bytes each.
@@ -162,8 +162,8 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
         if keys:
             yield from told()
 
-    dealt = texts.select("text").mapInArrow(count, "chunk int, steps binary, counts binary").repartition("chunk").sortWithinPartitions("chunk")
-    found = materialize(dealt.mapInArrow(add, "chunk int, keys binary, codes binary, sketch binary, tally array<long>"), "common")
+    dealt = texts.select("text").mapInArrow(tidied(count), "chunk int, steps binary, counts binary").repartition("chunk").sortWithinPartitions("chunk")
+    found = materialize(dealt.mapInArrow(tidied(add), "chunk int, keys binary, codes binary, sketch binary, tally array<long>"), "common")
     tally = np.zeros(64, np.int64)
     for r in found.select(F.posexplode("tally").alias("code", "n")).groupBy("code").agg(F.sum("n").alias("n")).collect():
         tally[r["code"]] = r["n"]
@@ -176,7 +176,7 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
                 kept = code >= bar
                 yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(keys.as_buffer(), "<u8")[kept].tobytes()], pa.binary()), pa.array([code[kept].tobytes()], pa.binary())], ["keys", "codes"])
 
-    got = found.select("keys", "codes").mapInArrow(above, "keys binary, codes binary").toArrow()
+    got = found.select("keys", "codes").mapInArrow(tidied(above), "keys binary, codes binary").toArrow()
     sketch = np.zeros(1 << (bits - 1), np.uint8)
     size = 1 << (bits - 1 - _CHUNK_BITS)
     for r in found.select("chunk", "sketch").toLocalIterator():
@@ -232,7 +232,7 @@ def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast) -> Da
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(common, pa.float32()), pa.array(keys, pa.binary()), lists], ["doc_id", "n", "common", "set_key", "prefix"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, common float, set_key binary, prefix array<long>")
+    rows = texts.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, n long, common float, set_key binary, prefix array<long>")
     return rows.withColumn("rid", F.monotonically_increasing_id())
 
 
@@ -248,7 +248,7 @@ def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int, b
             items = [shingles(t, words).tobytes() for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(x).digest() for x in items], pa.binary()), pa.array(items, pa.binary())], ["set_key", "items"])
 
-    made = near.select("text").mapInArrow(run, "set_key binary, items binary")
+    made = near.select("text").mapInArrow(tidied(run), "set_key binary, items binary")
     return made.join(ids.select("cid", "set_key"), "set_key").dropDuplicates(["cid"]).select("cid", "items")
 
 
@@ -276,7 +276,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left, right = sets.select(F.col("cid").alias("a"), F.col("items").alias("items_a")), sets.select(F.col("cid").alias("b"), F.col("items").alias("items_b"))
     rows = pairs.join(right, "b").join(left, "a").select("a", "b", "items_a", "items_b")
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(tidied(run), "a long, b long")
 
 
 def join_classes(texts: DataFrame, words: int, percent: int, common: int = COMMON, broadcast_ids: int = BROADCAST_IDS) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.durable import materialize
-from .common import Rows, sliced, word_bytes
+from .common import Rows, sliced, tidied, word_bytes
 from .quality_rules import SPACE, rule_counts
 
 #: Buckets of the hashed scorer, rounds of its fit, weight of the squared norm in its loss, and steps it remembers.
@@ -167,7 +167,7 @@ def prepare(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFr
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return materialize(rows.mapInArrow(run, f"doc_id {kind}, pattern int, filled boolean, buckets binary, amounts binary"), "features")
+    return materialize(rows.mapInArrow(tidied(run), f"doc_id {kind}, pattern int, filled boolean, buckets binary, amounts binary"), "features")
 
 
 def _flat(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,7 +215,7 @@ def fit_scorer(prepared: DataFrame, posterior: np.ndarray, codes: np.ndarray, co
             yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "sums"])
 
         kind = "part int, sums binary"
-        got = prepared.select("pattern", "buckets", "amounts").mapInArrow(part, kind).repartition("part").mapInArrow(add, kind).collect()
+        got = prepared.select("pattern", "buckets", "amounts").mapInArrow(tidied(part), kind).repartition("part").mapInArrow(tidied(add), kind).collect()
         whole = np.concatenate([np.frombuffer(r["sums"]) for r in sorted(got)])
         return float(whole[-1] + RIDGE * (w @ w) / 2), whole[:-1] + RIDGE * w
 
@@ -253,7 +253,7 @@ def classify(df: DataFrame, text: str = "text", id_col: str = "doc_id", bar: flo
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), pa.array(s >= bar)], ["doc_id", "score", "kept"])
 
     kind = prepared.schema["doc_id"].dataType.simpleString()
-    return prepared.mapInArrow(run, f"doc_id {kind}, score double, kept boolean")
+    return prepared.mapInArrow(tidied(run), f"doc_id {kind}, score double, kept boolean")
 
 
 def keep_good(df: DataFrame, text: str = "text", id_col: str = "doc_id", bar: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
@@ -266,4 +266,4 @@ def keep_good(df: DataFrame, text: str = "text", id_col: str = "doc_id", bar: fl
             texts = b.column(at).to_pylist()
             yield b.filter(pa.array([bool(t and t.strip(SPACE)) and score(t, w) >= bar for t in texts], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidied(run), df.schema)

@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rows, sha256_hex, sliced
+from .common import Rows, sha256_hex, sliced, tidied
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -135,7 +135,7 @@ def scan(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", id_co
             yield pa.RecordBatch.from_arrays([b.column(0), *n, *(pa.array([r[i] for r in rows], pa.string()) for i in (4, 5))], ["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string")
+    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(tidied(run), f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string")
 
 
 def redact(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ratio: float = RATIO) -> DataFrame:
@@ -165,5 +165,6 @@ def redact(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", rat
             if length is not None:
                 columns[length] = pa.array([None if t is None else len(t) for t in new], b.schema.field(length).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+        _encoding.cache_clear()  # what follows in a pipeline has no use for it
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidied(run), df.schema)
