@@ -205,7 +205,8 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                     back.append(sha256_hex(codec.decode(np.frombuffer(packed, "<u4").tolist())))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
             give_back()
-        codec.memo.clear()
+        del codec
+        _loaded.clear()  # what follows in a worker has no use for it
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(tidied(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -58,6 +58,15 @@ def tidied(run: Callable[[Iterable[pa.RecordBatch]], Rows]) -> Callable[[Iterabl
     return own
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """From now on the session hands Python workers at most about ``most`` bytes of rows at a time, unless it hands them
+    less already.  A batch is held whole by the executor and by the worker, 64 MB of it by Spark's default."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < now <= most:
+        spark.conf.set(name, str(most))
+
+
 def sliced(batches: Iterable[pa.RecordBatch], step: int = 500) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that little of a batch is ever held as Python objects.  Spark itself bounds a
     batch by bytes (spark.sql.execution.arrow.maxBytesPerBatch)."""

@@ -26,8 +26,9 @@ from .components import components
 COMMON = 1_000_000
 #: Among all others order is by a sketch of about as many buckets as there are shingles, 2^26 at most, half a byte each.
 MOST_BITS = 26
-#: Bits of a key that shingles are counted by, log2 of the chunks of keys, and keys that a task holds before it sends them.
-_KEY_BITS, _CHUNK_BITS, _HELD = 44, 12, 1_500_000
+#: Bits of a key that shingles are counted by, log2 of the chunks of keys, keys that a task gathers before it folds them in, and keys
+#: that it holds before it sends them: few, since a copy or two of them is made on the way and each core has a worker.
+_KEY_BITS, _CHUNK_BITS, _FRESH, _HELD = 44, 12, 200_000, 600_000
 _KEY_SHIFT, _REST = np.uint64(64 - _KEY_BITS), np.uint64(_KEY_BITS - _CHUNK_BITS)
 #: Most ids of texts to verify that are broadcast, rather than joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -88,12 +89,15 @@ def sketch_bits(texts: DataFrame, most: int = MOST_BITS) -> int:
 def _packed(keys: np.ndarray, n: np.ndarray) -> Rows:
     """A row per chunk of rising keys: differences of 32 bits by bytes of like weight, and the counts, nearly all ones."""
     cuts = np.searchsorted(keys, np.arange((1 << _CHUNK_BITS) + 1, dtype=np.uint64) << _REST)
-    for chunk in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-        own = slice(cuts[chunk], cuts[chunk + 1])
-        rest = keys[own] & np.uint64((1 << int(_REST)) - 1)
-        steps = np.diff(rest, prepend=np.uint64(0)).astype("<u4").view(np.uint8).reshape(-1, 4)
-        data = [zlib.compress(x, 1) for x in (steps.T.tobytes(), n[own].astype("<u4").tobytes())]
-        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *(pa.array([x], pa.binary()) for x in data)], ["chunk", "steps", "counts"])
+    filled = np.flatnonzero(cuts[1:] > cuts[:-1]).tolist()
+    for some in (filled[at : at + 256] for at in range(0, len(filled), 256)):
+        data = [[], []]
+        for own in (slice(cuts[chunk], cuts[chunk + 1]) for chunk in some):
+            rest = keys[own] & np.uint64((1 << int(_REST)) - 1)
+            steps = np.diff(rest, prepend=np.uint64(0)).astype("<u4").view(np.uint8).reshape(-1, 4)
+            for out, x in zip(data, (steps.T.tobytes(), n[own].astype("<u4").tobytes()), strict=True):
+                out.append(zlib.compress(x, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(x, pa.binary()) for x in data)], ["chunk", "steps", "counts"])
 
 
 def _unpacked(steps: pa.Scalar, counts: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +129,7 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
             for t in b.column(0).to_pylist():
                 new.append(shingles(t, words) >> _KEY_SHIFT)
                 size += len(new[-1])
-                if size > 500_000:
+                if size > _FRESH:
                     key, n = fold()
                     size = 0
                     if len(key) > _HELD:
