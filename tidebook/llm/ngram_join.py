@@ -24,8 +24,10 @@ from .components import components
 
 #: Shingles that all tasks know to be common, at most: the most frequent of all, nine bytes each.
 COMMON = 1_000_000
-#: Among all others order is by a sketch of about as many buckets as there are shingles, 2^26 at most, half a byte each.
-MOST_BITS = 26
+#: Among all others order is by a sketch of about as many buckets as there are shingles, 2^25 at most, half a byte each,
+#: and by as many bytes again, a bit for each of four times as many buckets: whether it holds a shingle of two texts.
+MOST_BITS = 25
+_MARK_BITS = 2
 #: Bits of a key that shingles are counted by, log2 of the chunks of keys, keys that a task gathers before it folds them in, and keys
 #: that it holds before it sends them: few, since a copy or two of them is made on the way and each core has a worker.
 _KEY_BITS, _CHUNK_BITS, _FRESH, _HELD = 44, 12, 200_000, 600_000
@@ -63,6 +65,11 @@ def needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
+def behind(n: Column, percent: int) -> Column:
+    """How many shingles of a set are not in its prefix."""
+    return F.floor((n * percent + 99) / 100) - 1
+
+
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, n = keys[order], n[order]
@@ -106,10 +113,17 @@ def _unpacked(steps: pa.Scalar, counts: pa.Scalar) -> tuple[np.ndarray, np.ndarr
 
 
 def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits: int = MOST_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The most frequent shingles by rising key, with log2 of how many texts hold them, and a sketch for all others.
+    """What :func:`known_shingles` tells but for the marks."""
+    return known_shingles(texts, words, most, most_bits)[:3]
+
+
+def known_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits: int = MOST_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent shingles by rising key, with log2 of how many texts hold them, a sketch for all others, and marks.
 
     The list holds all shingles that are in at least 2^c texts, for the least c of 2 or more with which they are ``most``
     or fewer.  The sketch has half a byte per bucket of keys: log2 of how many texts' shingles fall there, rounded up.
+    The marks have a bit per smaller bucket: whether any shingle there is in two texts or more.  Single shingles fill the
+    sketch, but not the marks; where there is no mark, a shingle is in one text alone.
     Every shingle of every text is counted, where its chunk of keys is summed.  However much text there is, and however
     full the sketch, prefixes keep clear of what the list holds.
     """
@@ -145,12 +159,14 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
             place = (k >> np.uint64(_KEY_BITS - bits)).astype(np.int64)
             full = np.bincount(place, n, 1 << (bits - _CHUNK_BITS))
             half = np.minimum(np.ceil(np.log2(np.maximum(full, 1))), 15).astype(np.uint8)
+            marks = np.zeros(1 << (bits + _MARK_BITS - _CHUNK_BITS), bool)
+            marks[k[n > 1] >> np.uint64(_KEY_BITS - bits - _MARK_BITS)] = True
             code = np.floor(np.log2(n)).astype(np.uint8)
             often = code >= 2
             k, code = k[often] | (np.uint64(chunk) << _REST), code[often]
             tally = np.bincount(code, minlength=64).tolist()
-            data = [k.astype("<u8").tobytes(), code.tobytes(), (half[::2] | half[1::2] << 4).tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *(pa.array([x], pa.binary()) for x in data), pa.array([tally], pa.list_(pa.int64()))], ["chunk", "keys", "codes", "sketch", "tally"])
+            data = [k.astype("<u8").tobytes(), code.tobytes(), (half[::2] | half[1::2] << 4).tobytes(), np.packbits(marks, bitorder="little").tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *(pa.array([x], pa.binary()) for x in data), pa.array([tally], pa.list_(pa.int64()))], ["chunk", "keys", "codes", "sketch", "marks", "tally"])
 
         for b in batches:
             for c, steps, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
@@ -167,7 +183,7 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
             yield from told()
 
     dealt = texts.select("text").mapInArrow(tidied(count), "chunk int, steps binary, counts binary").repartition("chunk").sortWithinPartitions("chunk")
-    found = materialize(dealt.mapInArrow(tidied(add), "chunk int, keys binary, codes binary, sketch binary, tally array<long>"), "common")
+    found = materialize(dealt.mapInArrow(tidied(add), "chunk int, keys binary, codes binary, sketch binary, marks binary, tally array<long>"), "common")
     tally = np.zeros(64, np.int64)
     for r in found.select(F.posexplode("tally").alias("code", "n")).groupBy("code").agg(F.sum("n").alias("n")).collect():
         tally[r["code"]] = r["n"]
@@ -181,24 +197,25 @@ def common_shingles(texts: DataFrame, words: int, most: int = COMMON, most_bits:
                 yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(keys.as_buffer(), "<u8")[kept].tobytes()], pa.binary()), pa.array([code[kept].tobytes()], pa.binary())], ["keys", "codes"])
 
     got = found.select("keys", "codes").mapInArrow(tidied(above), "keys binary, codes binary").toArrow()
-    sketch = np.zeros(1 << (bits - 1), np.uint8)
-    size = 1 << (bits - 1 - _CHUNK_BITS)
-    for r in found.select("chunk", "sketch").toLocalIterator():
-        sketch[r["chunk"] * size : (r["chunk"] + 1) * size] = np.frombuffer(r["sketch"], np.uint8)
+    sketch, marks = np.zeros(1 << (bits - 1), np.uint8), np.zeros(1 << (bits + _MARK_BITS - 3), np.uint8)
+    for r in found.select("chunk", "sketch", "marks").toLocalIterator():
+        for whole, own in ((sketch, r["sketch"]), (marks, r["marks"])):
+            whole[r["chunk"] * len(own) : (r["chunk"] + 1) * len(own)] = np.frombuffer(own, np.uint8)
     release(found)
     keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), "<u8") for x in got["keys"])])
     codes = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x.as_buffer(), np.uint8) for x in got["codes"])])
     order = np.argsort(keys)
-    return keys[order], codes[order], sketch
+    return keys[order], codes[order], sketch, marks
 
 
 class Commonness:
-    """An order of shingles, rarest first: by the sketch those that the list doesn't hold, and after them those it does."""
+    """An order of shingles, rarest first: by the sketch those that the list doesn't hold, and after them those it does.
+    Nought has a shingle that no other text holds, as sketch or marks tell."""
 
     MAP = np.uint64(_KEY_BITS - 22)
 
-    def __init__(self, keys: np.ndarray, codes: np.ndarray, sketch: np.ndarray):
-        self.keys, self.codes, self.sketch = keys, codes, sketch
+    def __init__(self, keys: np.ndarray, codes: np.ndarray, sketch: np.ndarray, marks: np.ndarray | None = None):
+        self.keys, self.codes, self.sketch, self.marks = keys, codes, sketch, marks
         self.bucket = np.uint64(_KEY_BITS - (2 * len(sketch)).bit_length() + 1)
         self.seen = np.zeros(1 << 22, bool)
         self.seen[keys >> self.MAP] = True
@@ -207,6 +224,9 @@ class Commonness:
         key = shingles_ >> _KEY_SHIFT
         at = (key >> self.bucket).astype(np.int64)
         out = self.sketch[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15
+        if self.marks is not None:
+            at = (key >> (self.bucket - np.uint64(_MARK_BITS))).astype(np.int64)
+            out *= self.marks[at >> 3] >> (at & 7).astype(np.uint8) & 1
         at = np.flatnonzero(self.seen[key >> self.MAP])
         if len(at):
             place = np.minimum(np.searchsorted(self.keys, key[at]), len(self.keys) - 1)
@@ -216,13 +236,14 @@ class Commonness:
 
 
 def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast) -> DataFrame:
-    """``rid, doc_id, n, common, set_key, prefix`` per text: the key names the set, the prefix holds its rarest
-    shingles, rarest first, and ``common`` is how frequent its shingles are on the whole."""
+    """``rid, doc_id, n, able, common, set_key, prefix`` per text: the key names the set, the prefix holds its rarest
+    shingles, rarest first, but for those that no other text holds, ``able`` is how many shingles another text may hold,
+    and ``common`` how frequent they are on the whole."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         commonness = Commonness(*often.value)
         for b in sliced(batches):
-            n, keys, rare, common = [], [], [], []
+            n, able, keys, rare, common = [], [], [], [], []
             for t in b.column(1).to_pylist():
                 s = shingles(t, words)
                 n.append(len(s))
@@ -230,13 +251,15 @@ def prefixes(texts: DataFrame, words: int, percent: int, often: Broadcast) -> Da
                 take = prefix_length(len(s), percent) if len(s) else 0
                 code = commonness(s)
                 common.append(float(code.mean()) if len(s) else 0.0)
-                rare.append(s[np.argsort(code, kind="stable")[:take]].view(np.int64))
+                able.append(np.count_nonzero(code))
+                first = np.argsort(code, kind="stable")[:take]
+                rare.append(s[first[code[first] > 0]].view(np.int64))
             cuts = np.cumsum([0, *map(len, rare)])
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(rare) if rare else np.zeros(0, np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(common, pa.float32()), pa.array(keys, pa.binary()), lists], ["doc_id", "n", "common", "set_key", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(able, pa.int64()), pa.array(common, pa.float32()), pa.array(keys, pa.binary()), lists], ["doc_id", "n", "able", "common", "set_key", "prefix"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = texts.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, n long, common float, set_key binary, prefix array<long>")
+    rows = texts.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, n long, able long, common float, set_key binary, prefix array<long>")
     return rows.withColumn("rid", F.monotonically_increasing_id())
 
 
@@ -294,37 +317,40 @@ def join_classes(texts: DataFrame, words: int, percent: int, common: int = COMMO
     A shingle's leader and components are grouped minima, joined back, so that a hot shingle is aggregated before it
     moves, and what meets by shingle are joins, whose skewed partitions adaptive execution splits.
     """
-    often = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words, common))
+    often = texts.sparkSession.sparkContext.broadcast(known_shingles(texts, words, common))
     rows = materialize(prefixes(texts, words, percent, often), "prefixes")
     often.destroy()  # the rows are in a table
     filled = rows.where("n > 0")
     first = filled.groupBy("set_key").agg(F.min("rid").alias("rid"))
     kept = filled.join(first.select("rid"), "rid", "left_semi")
-    postings = kept.select(F.col("rid").alias("cid"), "n", "common", F.explode("prefix").alias("token"))
-    lead = postings.groupBy("token").agg(F.count("*").alias("m"), F.min(F.struct((-F.col("common")).alias("x"), "n", "cid")).alias("l")).where("m > 1")
-    met = postings.join(lead, "token").select("token", "cid", "n", F.col("l.cid").alias("leader"), F.col("l.n").alias("leader_n"))
+    postings = kept.select(F.col("rid").alias("cid"), "n", "able", "common", F.explode("prefix").alias("token"))
+    lead = postings.groupBy("token").agg(F.count("*").alias("m"), F.min(F.struct((-F.col("common")).alias("x"), "n", "cid", "able")).alias("l")).where("m > 1")
+    met = postings.join(lead, "token").select("token", "cid", "n", "able", F.col("l.cid").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.able").alias("leader_able"))
     met = materialize(met, "met")
     classes = materialize(kept.select(F.col("rid").alias("cid"), "set_key", "doc_id"), "classes")
     like = lambda x, y: (x * 100 >= y * percent) & (y * 100 >= x * percent)
-    star = materialize(met.where((F.col("cid") != F.col("leader")) & like(F.col("leader_n"), F.col("n"))).select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), "star")
+    enough = F.least("able", "leader_able") >= needed(F.col("leader_n"), F.col("n"), percent)
+    star = materialize(met.where((F.col("cid") != F.col("leader")) & like(F.col("leader_n"), F.col("n")) & enough).select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), "star")
     ends = lambda p: p.select(F.col("a").alias("cid")).union(p.select("b")).distinct()
     links = verified(star, _sets(texts, classes, ends(star), words, broadcast_ids), percent)
     roots = materialize(components(links), "roots")
 
     part = met.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     mixed = part.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    apart = part.join(mixed, "token").select("token", "cid", "n", "root")
+    apart = part.join(mixed, "token").select("token", "cid", "n", "able", "root")
     apart = materialize(apart.join(rows.select(F.col("rid").alias("cid"), "prefix"), "cid"), "apart")
     x, y = apart.alias("x"), apart.alias("y")
     first_n, second_n = F.col("x.n"), F.col("y.n")
     length = (first_n * 100 >= second_n * percent) & ((first_n < second_n) | ((first_n == second_n) & (F.col("x.cid") < F.col("y.cid"))))
     both = F.array_intersect("x.prefix", "y.prefix")
-    rest = F.greatest(first_n - F.size("x.prefix"), second_n - F.size("y.prefix"))
+    rest = F.greatest(behind(first_n, percent), behind(second_n, percent))
     once = (F.get(both, F.lit(0)) == F.col("x.token")) & (F.size(both) + rest >= needed(first_n, second_n, percent))
-    more = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & length & once)
+    enough = F.least("x.able", "y.able") >= needed(first_n, second_n, percent)
+    more = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & length & enough & once)
     tried = star.select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("d"))
     more = more.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
     more = materialize(more.join(tried, (F.least("a", "b") == F.col("c")) & (F.greatest("a", "b") == F.col("d")), "left_anti"), "more")
+    release(met, apart)
     late = verified(more, _sets(texts, classes, ends(more), words, broadcast_ids), percent)
     named = lambda c: (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c)
     late = late.join(*named("a"), "left").join(*named("b"), "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))

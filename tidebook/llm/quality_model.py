@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.durable import materialize
+from ..plans.durable import materialize, release
 from .common import Rows, sliced, tidied, word_bytes
 from .quality_rules import SPACE, rule_counts
 
@@ -258,7 +258,9 @@ def classify(df: DataFrame, text: str = "text", id_col: str = "doc_id", bar: flo
 
 def keep_good(df: DataFrame, text: str = "text", id_col: str = "doc_id", bar: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
     """The rows of ``df`` that :func:`classify` keeps, all columns as they are."""
-    _, w = fit(prepare(df, text, id_col), rounds)
+    prepared = prepare(df, text, id_col)
+    _, w = fit(prepared, rounds)
+    release(prepared)
     at = df.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
