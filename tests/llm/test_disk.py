@@ -5,8 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidebook.llm import ngram_join, quality_model
+from tidebook.llm import ctw, ngram_join, quality_model
 from tidebook.plans import durable
 
 DATA = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ def written(monkeypatch):
         tables.setdefault(name, []).append(durable.materialize(df, name))
         return tables[name][-1]
 
-    for module in (ngram_join, quality_model):
+    for module in (ctw, ngram_join, quality_model):
         monkeypatch.setattr(module, "materialize", materialize)
     return tables
 
@@ -65,3 +66,18 @@ def test_tables_go_when_nothing_reads_them(spark, written):
     assert written["features"] and not any(map(there, written["features"])) and good.count()
     kept = ngram_join.keep_one(docs)
     assert not any(there(t) for name in ("met", "apart") for t in written[name]) and kept.count()
+
+
+def test_a_model_of_many_parts_moves_no_grams(spark, written):
+    """Three parts give what one gives, for repeated, null and empty texts too, and only a sum per text is written."""
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").limit(60)
+    odd = spark.createDataFrame([(None, None), (9001, ""), (9002, "abra cadabra"), (9002, "abra cadabra"), (9003, "Abra cadabra")], rows.schema)
+    docs, held = rows.union(odd), F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["score"])
+    one = sorted(ctw.score(docs, held, order=3).collect(), key=key)
+    size = written["model"][0].count()
+    got = sorted(ctw.score(docs, held, order=3, broadcast_grams=-(-size // 3)).collect(), key=key)
+    assert len(got) == len(one) == 65
+    for a, b in zip(one, got, strict=True):
+        assert a[:6] == b[:6] and np.allclose(a[6:], b[6:], rtol=1e-12)
+    assert not written["scored"][1].where("grams is not null").count() and len(written["sums"]) == 2

@@ -4,13 +4,16 @@ A byte is eight binary decisions; each decision, named by the bits before it, ha
 ``order`` preceding bytes.  Every node keeps a Krichevsky-Trofimov estimate, and a node's weight against those below it
 is the posterior of the context-tree mixture over the training texts.  All that the mixture needs from the corpus are
 the counts of byte (order+1)-grams, so training is one grouped sum.  The model is then a table of a log probability per
-gram.  A table of at most ``BROADCAST_GRAMS`` rows goes to the workers; a larger one is joined by shuffles.
+gram.  A table of at most ``BROADCAST_GRAMS`` rows goes to the workers; a larger one goes in parts of about that size,
+one after the other, and texts are read once for each: only a sum per text is moved, never the grams of texts.
 
 Texts are lower-cased (A-Z) and end in the byte 0xFF, which UTF-8 never holds and which also stands before a text.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterable
@@ -18,11 +21,12 @@ from collections.abc import Iterable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.durable import materialize
-from .common import Rows, sliced
+from .common import Rows, sliced, tidied
 
 ORDER = 5
 BROADCAST_GRAMS = 4_000_000
@@ -32,6 +36,8 @@ HEAVY = 1 << 20
 TOP = 3
 #: Grams that one task builds its part of the trees from, about.
 TASK_GRAMS = 400_000
+#: The part of the table that holds a gram: its remainder by this prime, to which every byte counts, modulo the parts.
+SPREAD = 1_000_003
 END = 0xFF
 _SMALL = np.array([math.lgamma(n + 0.5) for n in range(64)]), np.array([math.lgamma(n + 1.0) for n in range(64)])
 
@@ -292,25 +298,54 @@ def count_words(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-_PASS = "doc_id {kind}, held_out boolean, n_tokens long, n_bytes long, known long, heavy double, score double, light array<binary>, light_n array<int>, grams array<long>, gram_n array<int>"
+_PASS = "doc_id {kind}, held_out boolean, n_tokens long, n_bytes long, known long, heavy double, score double, light array<binary>, light_n array<int>, grams array<long>, gram_n array<int>, form binary"
 
 
-def _pass(rows: DataFrame, heavy: dict[bytes, int], table: Table | None, order: int) -> DataFrame:
-    """Per text what can be told from the broadcasts: all of it but rare words, and grams if the table is too large."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(({w: math.log10(n + 1) for w, n in heavy.items()}, table))
+def held_part(table: DataFrame, parts: int, part: int) -> Table:
+    """One of the parts that the rows of a gram table fall into."""
+    got = table.where(F.col("gram") % SPREAD % parts == part).toArrow()
+    return Table(got["gram"].to_numpy().view(np.uint64), got["log10_p"].to_numpy())
+
+
+def _sums(probabilities: Table, parts: int, part: int, texts: list[bytes], order: int) -> np.ndarray:
+    """Per text the sum over those of its grams that fall into the part."""
+    code, owner = grams(texts, order)
+    if parts > 1:
+        own = np.flatnonzero(code % np.uint64(SPREAD) % np.uint64(parts) == part)
+        code, owner = code[own], owner[own]
+    return np.bincount(owner, probabilities[code], len(texts))
+
+
+def _form(text: bytes) -> bytes:
+    return hashlib.md5(text).digest()
+
+
+def _part_pass(rows: DataFrame, shared: Broadcast, parts: int, part: int, order: int) -> DataFrame:
+    """``form, part, sum``: the share that one part of the table has in the score of a text of that form."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Rows:
+        for b in sliced(batches, 200):
+            texts = _lowered(b.column(0).to_pylist())
+            sums = _sums(shared.value, parts, part, texts, order)
+            yield pa.RecordBatch.from_arrays([pa.array([_form(t) for t in texts], pa.binary()), pa.array([part] * len(texts), pa.int32()), pa.array(sums, pa.float64())], ["form", "part", "sum"])
+
+    return rows.select("text").mapInArrow(tidied(run), "form binary, part int, sum double")
+
+
+def _pass(rows: DataFrame, shared: Broadcast, parts: int, order: int) -> DataFrame:
+    """Per text what can be told from the broadcast, logs of heavy words and the first part of the table: all of it but
+    rare words and further parts.  Without a table its grams come with it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Rows:
         logs, probabilities = shared.value
         for part in sliced(batches, 200):
             texts = _lowered(part.column(1).to_pylist())
-            code, owner = grams(texts, order)
             size, known, sums, light, light_n, own_grams, own_n = [], [], [], [], [], [], []
             if probabilities is not None:
-                score = np.bincount(owner, probabilities[code], len(texts))
+                score = _sums(probabilities, parts, 0, texts, order)
             else:
                 score = np.zeros(len(texts))
-                for x in np.split(code, np.cumsum([len(t) + 1 for t in texts])[:-1]):
+                for x in np.split(grams(texts, order)[0], np.cumsum([len(t) + 1 for t in texts])[:-1]):
                     k, n = np.unique(x, return_counts=True)
                     own_grams.append(k.view(np.int64).tolist())
                     own_n.append(n.tolist())
@@ -326,6 +361,7 @@ def _pass(rows: DataFrame, heavy: dict[bytes, int], table: Table | None, order:
             yield pa.RecordBatch.from_arrays([
                 part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array([len(t) + 1 for t in texts], pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(score, pa.float64()),
                 pa.array(light, pa.list_(pa.binary())), pa.array(light_n, pa.list_(pa.int32())), pa.array(none, pa.list_(pa.int64())), pa.array(own_n or none, pa.list_(pa.int32())),
+                pa.array([_form(t) if parts > 1 else None for t in texts], pa.binary()),
             ], [x.split()[0] for x in _PASS.split(", ")])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -341,7 +377,9 @@ def score(df: DataFrame, held_out: Column, order: int = ORDER, broadcast_grams:
 
     Learns from rows where ``held_out`` is not true and scores all.  ``score`` is the log10 probability of the lower-cased
     text and its end.  The base is an add-one unigram over words and one end per text: words that are more than a
-    2^-20 part of the training tokens are looked up in a broadcast of at most that many, all others by a join.
+    2^-20 part of the training tokens are looked up in a broadcast of at most that many, all others by a join.  The
+    model goes to the workers in parts of about ``broadcast_grams`` rows, each with a pass over the texts; with 0 it is
+    joined by shuffles of the grams of all texts, many times their size.
     Null and empty texts are an end alone; with nothing to learn from every decision is even and the base gives every
     token 1/1; repeated rows each train and score; an empty table gives none; other columns play no part.
     """
@@ -357,16 +395,23 @@ def score(df: DataFrame, held_out: Column, order: int = ORDER, broadcast_grams:
     heavy = dict(zip(often["word"].to_pylist(), often["n"].to_pylist(), strict=True))
     del often
     table = materialize(gram_table(materialize(count_grams(rows, order), "grams"), order), "model")
-    small = table.count() <= broadcast_grams
-    if small:
-        got = table.toArrow()
-        held = Table(got["gram"].to_numpy().view(np.uint64), got["log10_p"].to_numpy())
-        del got
-    done = materialize(_pass(rows, heavy, held if small else None, order), "scored")
+    parts = max(1, math.ceil(table.count() / broadcast_grams)) if broadcast_grams else 0
+    share = rows.sparkSession.sparkContext.broadcast
+    shared = share(({w: math.log10(n + 1) for w, n in heavy.items()}, held_part(table, parts, 0) if parts else None))
+    done = materialize(_pass(rows, shared, parts, order), "scored")
+    shared.destroy()  # the rows are in a table
+    further = []
+    for part in range(1, parts):
+        shared = share(held_part(table, parts, part))
+        further.append(materialize(_part_pass(rows, shared, parts, part, order), "sums"))
+        shared.destroy()
     light = _exploded(done, "light", "light_n").join(words.where(F.col("n") <= bar).withColumnRenamed("word", "item"), "item")
     light = light.groupBy("rid").agg(F.sum("k").alias("light_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("light_sum"))
-    out = done.select("rid", "doc_id", "held_out", "n_tokens", "n_bytes", "known", "heavy", "score").join(light, "rid", "left")
-    if not small:
+    out = done.select("rid", "doc_id", "held_out", "n_tokens", "n_bytes", "known", "heavy", "score", "form").join(light, "rid", "left")
+    if further:  # equal texts have equal sums, and parts are added by their numbers
+        by_form = functools.reduce(DataFrame.union, further).groupBy("form").agg(*[F.max(F.when(F.col("part") == part, F.col("sum"))).alias(f"sum_{part}") for part in range(1, parts)])
+        out = out.join(by_form, "form").withColumn("score", functools.reduce(Column.__add__, [F.col(f"sum_{part}") for part in range(1, parts)], F.col("score")))
+    if not parts:
         by_gram = _exploded(done, "grams", "gram_n").join(table.withColumnRenamed("gram", "item"), "item").groupBy("rid").agg(F.sum(F.col("k") * F.col("log10_p")).alias("gram_score"))
         out = out.join(by_gram, "rid", "left").withColumn("score", F.coalesce("gram_score", "score"))
     base = F.col("heavy") + F.coalesce("light_sum", F.lit(0.0)) + math.log10(texts + 1) - F.col("n_tokens") * math.log10(total + kinds + 1)
